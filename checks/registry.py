@@ -282,7 +282,7 @@ def _builders() -> dict[str, Callable[[Inputs], DataFrame]]:
             merge.upsert_node_metrics))(i.silver_node_metrics()),
         "late_fill_left_join": lambda i: merge.late_fill_left_join(
             dedup.dedup_jobs(i.jobs_bronze()), i.completions(), ["job_id"], ["ended_at", "cost_usd", "exit_code"],
-            col("ended_at").isNull(),
+            merge.OPEN_JOB,
         ),
         # aggregations
         "cost_attribution": cost,

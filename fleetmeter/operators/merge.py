@@ -24,8 +24,8 @@ Updates = Mapping[str, str | Column]
 def _one_row_per_key(source: DataFrame, on: Sequence[str]) -> DataFrame:
     """The source rows with a full key; fails at run time when a key comes twice.
 
-    The check is an aggregate with partial combine, and sits in a filter, where
-    column pruning cannot drop it.
+    The check is an aggregate with partial combine. It runs with the join, whenever a
+    merged column is read.
     """
     rest = [c for c in source.columns if c not in on]
     message = F.concat(
@@ -40,14 +40,16 @@ def _one_row_per_key(source: DataFrame, on: Sequence[str]) -> DataFrame:
     return checked.select(*(c if c in on else F.col(f"_row.{c}").alias(c) for c in source.columns))
 
 
-def _apply(target: DataFrame, source: DataFrame, on: Sequence[str], updates: Updates) -> DataFrame:
-    """Left join of rows that may match, with the updates on those that do.
+def _apply(target: DataFrame, source: DataFrame, on: Sequence[str], updates: Updates,
+           eligible: str | None) -> DataFrame:
+    """Left join with the updates on matched rows.
 
     A left join lets adaptive execution split a hot target key over several tasks.
     """
-    joined = target.alias("t").join(
-        source.withColumn("_matched", F.lit(True)).alias("s"), same_key("t", "s", on), "left"
-    )
+    condition = same_key("t", "s", on)
+    if eligible is not None:
+        condition = condition & F.expr(eligible)
+    joined = target.alias("t").join(source.withColumn("_matched", F.lit(True)).alias("s"), condition, "left")
 
     def settle(c: str) -> Column:
         if c not in updates:
@@ -60,48 +62,54 @@ def _apply(target: DataFrame, source: DataFrame, on: Sequence[str], updates: Upd
 
 
 def merge_update(target: DataFrame, source: DataFrame, on: Sequence[str], updates: Updates,
-                 eligible: Column | None = None) -> DataFrame:
-    """Update-only MERGE. Rows that cannot match (not eligible, NULL key) skip the shuffle."""
+                 eligible: str | None = None, stored: bool = False) -> DataFrame:
+    """Update-only MERGE. ``eligible`` is a further condition on the target, as SQL over ``t``.
+
+    A target that was just deduplicated on the key is already partitioned for the join, so it
+    is joined whole. For a ``stored`` target, rows that cannot match (not eligible, NULL key)
+    are split off in the scan and skip the shuffle.
+    """
+    source = _one_row_per_key(source, on)
+    if not stored:
+        return _apply(target, source, on, updates, eligible)
+    target = target.alias("t")
     may_match = ~any_null(on)
     if eligible is not None:
-        may_match = may_match & F.coalesce(eligible, F.lit(False))
-    source = _one_row_per_key(source, on)
-    return target.filter(~may_match).unionByName(_apply(target.filter(may_match), source, on, updates))
+        may_match = may_match & F.coalesce(F.expr(eligible), F.lit(False))
+    return target.filter(~may_match).unionByName(_apply(target.filter(may_match), source, on, updates, None))
 
 
-def upsert_merge(target: DataFrame, source: DataFrame, on: Sequence[str], updates: Updates) -> DataFrame:
+def upsert_merge(target: DataFrame, source: DataFrame, on: Sequence[str], updates: Updates,
+                 stored: bool = False) -> DataFrame:
     """Matched rows take ``updates``; source rows without a match are inserted whole.
 
     Built from a left join and an anti join instead of one full outer join: both
     tolerate a hot key (split by adaptive execution on the left, collapsed by the
-    distinct on the right), and NULL keys bypass both.
+    distinct on the right), and NULL keys bypass the anti join.
     """
     keyed = _one_row_per_key(source, on)
     keyless = source.filter(any_null(on))
     known = target.filter(~any_null(on)).select(*on).distinct()
     new = keyed.alias("s").join(known.alias("t"), same_key("s", "t", on), "left_anti")
     return (
-        merge_update(target, source, on, updates)
+        merge_update(target, source, on, updates, stored=stored)
         .unionByName(new.select(*target.columns))
         .unionByName(keyless.select(*target.columns))
     )
 
 
 def late_fill_left_join(target: DataFrame, source: DataFrame, on: Sequence[str], fill: Sequence[str],
-                        eligible: Column) -> DataFrame:
+                        eligible: str) -> DataFrame:
     """Keys and filled columns: the source's value where there is one, else the target's.
 
     Unlike MERGE, a NULL in the source leaves the target's value.
     """
-    may_match = ~any_null(on) & F.coalesce(eligible, F.lit(False))
     columns = [*on, *fill]
-    joined = target.filter(may_match).select(*columns).alias("t").join(
-        source.select(*columns).alias("s"), same_key("t", "s", on), "left"
-    )
-    filled = joined.select(
+    condition = same_key("t", "s", on) & F.expr(eligible)
+    joined = target.alias("t").join(source.select(*columns).alias("s"), condition, "left")
+    return joined.select(
         *(F.col(f"t.{c}") for c in on), *(F.coalesce(f"s.{c}", f"t.{c}").alias(c) for c in fill)
     )
-    return target.filter(~may_match).select(*columns).unionByName(filled)
 
 
 # ---------------------------------------------------------------- merge specifications
@@ -128,10 +136,14 @@ def completion_updates(as_of: datetime | None) -> dict[str, str | Column]:
     }
 
 
-def merge_completions(jobs: DataFrame, completions: DataFrame, as_of: datetime | None = None) -> DataFrame:
+OPEN_JOB = "t.ended_at IS NULL"
+
+
+def merge_completions(jobs: DataFrame, completions: DataFrame, as_of: datetime | None = None,
+                      stored: bool = False) -> DataFrame:
     """Late completion events fill in jobs that have not ended; finished jobs stay as they are."""
     updates = {c: e for c, e in completion_updates(as_of).items() if c in jobs.columns}
-    return merge_update(jobs, completions, JOBS_KEY, updates, eligible=F.col("ended_at").isNull())
+    return merge_update(jobs, completions, JOBS_KEY, updates, OPEN_JOB, stored)
 
 
 # ---------------------------------------------------------------- write path
@@ -182,13 +194,15 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str, on: Sequence
     source = spill_to_table(source, "merge-source")
     target = tables.scan_table(spark, path, fmt)
     if not partition_by:
-        return tables.replace_table(upsert_merge(target, source, on, updates), path, fmt)
+        return tables.replace_table(upsert_merge(target, source, on, updates, stored=True), path, fmt)
     hit = target.select(*dict.fromkeys([*on, *partition_by])).alias("t").join(
         source.select(*on).alias("s"), same_key("t", "s", on), "left_semi"
     )
     touched = hit.select(*partition_by).union(source.select(*partition_by)).distinct()
     affected = _in_partitions(target, spill_to_table(touched, "merge-touched"), partition_by)
-    return tables.replace_partitions(upsert_merge(affected, source, on, updates), path, partition_by, fmt)
+    return tables.replace_partitions(
+        upsert_merge(affected, source, on, updates, stored=True), path, partition_by, fmt
+    )
 
 
 def merge_completions_table(spark: SparkSession, path: str, completions: DataFrame,
@@ -201,7 +215,7 @@ def merge_completions_table(spark: SparkSession, path: str, completions: DataFra
     _check_updates(updates, partition_by)
     if fmt == "delta":
         return _delta_merge(spark, completions, path, JOBS_KEY, updates, insert=False,
-                            also="t.ended_at IS NULL")
+                            also=OPEN_JOB)
     completions = spill_to_table(completions, "merge-source")
     jobs = tables.scan_table(spark, path, fmt)
     open_jobs = jobs.filter(F.col("ended_at").isNull()).select(*JOBS_KEY, *partition_by)
@@ -212,7 +226,9 @@ def merge_completions_table(spark: SparkSession, path: str, completions: DataFra
         .distinct()
     )
     affected = _in_partitions(jobs, spill_to_table(touched, "merge-touched"), partition_by)
-    return tables.replace_partitions(merge_completions(affected, completions, as_of), path, partition_by, fmt)
+    return tables.replace_partitions(
+        merge_completions(affected, completions, as_of, stored=True), path, partition_by, fmt
+    )
 
 
 def _delta_merge(spark: SparkSession, source: DataFrame, path: str, on: Sequence[str], updates: Updates,

@@ -59,12 +59,10 @@ def build_silver(spark: SparkSession, bronze: str, silver: str, as_of: datetime
     return {name: o.get["rows"] for name, o in seen.items()}
 
 
-def materialize_gold(spark: SparkSession, silver: str, gold: str, as_of: datetime | None = None,
-                     fmt: str = tables.DEFAULT_FORMAT) -> dict[str, DataFrame]:
-    """Staging as temporary views; the intermediate table and the marts as stored tables.
+def staging_views(spark: SparkSession, silver: str, fmt: str = tables.DEFAULT_FORMAT) -> dict[str, DataFrame]:
+    """Register staging as temporary views over the silver files as they are now.
 
-    Job costs are stored once and feed the mart from there. Every table is partitioned by
-    its date, the column all reads filter on.
+    Call again after silver was rewritten: a view holds on to the files it was made from.
     """
     stored = {n: tables.scan_table(spark, f"{silver}/{n}", fmt) for n in ("jobs", "inference", "node_metrics")}
     views = {
@@ -74,6 +72,17 @@ def materialize_gold(spark: SparkSession, silver: str, gold: str, as_of: datetim
     }
     for name, view in views.items():
         view.createOrReplaceTempView(name)
+    return views
+
+
+def materialize_gold(spark: SparkSession, silver: str, gold: str, as_of: datetime | None = None,
+                     fmt: str = tables.DEFAULT_FORMAT) -> dict[str, DataFrame]:
+    """Staging as temporary views; the intermediate table and the marts as stored tables.
+
+    Job costs are stored once and feed the mart from there. Every table is partitioned by
+    its date, the column all reads filter on.
+    """
+    views = staging_views(spark, silver, fmt)
 
     def store(df: DataFrame, name: str, partition_by: str) -> DataFrame:
         return tables.write_partitioned_overwrite(df, f"{gold}/{name}", [partition_by], fmt)
@@ -102,4 +111,5 @@ def run_batch(spark: SparkSession, bronze: str, silver: str, gold: str, as_of: d
     gold_tests = spill_to_table(quality.run_column_tests(gold_tables, quality.GOLD_TESTS), "gold-tests")
     if optimize:
         optimize_tables(spark, silver, gold, fmt)
+        staging_views(spark, silver, fmt)
     return BatchResult(counts, checks, True, gold_tests)
