@@ -63,6 +63,11 @@ def _tally(condition: str) -> str:
     return f"sum(CASE WHEN {condition} THEN 1 ELSE 0 END)::BIGINT"
 
 
+def _settled(value: str, digits: int) -> str:
+    """Round an accumulated double twice, so that the order of addition cannot decide a tie."""
+    return f"round(round({value}, {digits + 6}), {digits})"
+
+
 def _exact_sum(value: str, digits: int) -> str:
     """Sum of decimals with a known number of digits, free of the order of addition."""
     return f"(sum(round(({value}) * 1e{digits}::DOUBLE)::BIGINT)::DOUBLE / 1e{digits}::DOUBLE)"
@@ -135,9 +140,9 @@ CTES: dict[str, str] = {
     SELECT {', '.join(COST_KEY)}, count(*) AS total_jobs,
       {_tally("job_status = 'succeeded'")} AS succeeded_jobs, {_tally("job_status = 'oom_killed'")} AS oom_jobs,
       {_tally("job_status = 'failed'")} AS failed_jobs, {_tally("job_status = 'running'")} AS running_jobs,
-      round({_exact_sum('cost_usd', 6)}, 4) AS total_cost_usd, round(sum(gpu_hours), 4) AS total_gpu_hours,
+      round({_exact_sum('cost_usd', 6)}, 4) AS total_cost_usd, {_settled('sum(gpu_hours)', 4)} AS total_gpu_hours,
       round({_exact_avg("CASE WHEN job_status = 'succeeded' THEN cost_usd END", 6)}, 4) AS avg_cost_per_success_usd,
-      round({_mean_if('billable_hours', "job_status = 'succeeded'")}, 4) AS avg_duration_hours,
+      {_settled(_mean_if('billable_hours', "job_status = 'succeeded'"), 4)} AS avg_duration_hours,
       round(max(billable_hours), 4) AS max_duration_hours
     FROM int_job_costs WHERE job_date IS NOT NULL GROUP BY ALL""",
     "cost_attribution": f"""
@@ -148,13 +153,13 @@ CTES: dict[str, str] = {
     FROM cost_totals""",
     "hour_totals": f"""
     SELECT hour_bucket, metric_date, gpu_type, gpu_tier, rack_id,
-      round(avg(gpu_util_pct), 2) AS avg_gpu_util_pct,
+      {_settled('avg(gpu_util_pct)', 2)} AS avg_gpu_util_pct,
       round(quantile_cont(gpu_util_pct, 0.5), 2) AS p50_gpu_util_pct,
       round(quantile_cont(gpu_util_pct, 0.95), 2) AS p95_gpu_util_pct,
       round(max(gpu_util_pct), 2) AS max_gpu_util_pct,
-      round(avg(memory_util_pct), 2) AS avg_memory_util_pct, round(max(memory_util_pct), 2) AS max_memory_util_pct,
-      round(avg(temp_celsius), 1) AS avg_temp_celsius, round(max(temp_celsius), 1) AS max_temp_celsius,
-      round(sum(power_watts) / 1000, 2) AS total_power_kw,
+      {_settled('avg(memory_util_pct)', 2)} AS avg_memory_util_pct, round(max(memory_util_pct), 2) AS max_memory_util_pct,
+      {_settled('avg(temp_celsius)', 1)} AS avg_temp_celsius, round(max(temp_celsius), 1) AS max_temp_celsius,
+      {_settled('sum(power_watts) / 1000', 2)} AS total_power_kw,
       count(DISTINCT node_id) AS active_nodes, count(DISTINCT gpu_id) AS active_gpus,
       {_tally('gpu_util_pct > 90')} AS high_util_gpu_count, {_tally('gpu_util_pct < 10')} AS idle_gpu_count,
       {_tally('temp_celsius > 85')} AS thermal_warning_count
@@ -166,14 +171,14 @@ CTES: dict[str, str] = {
     FROM hour_totals""",
     "day_totals": f"""
     SELECT log_date, model_id, region, count(*) AS total_requests, {_tally('cache_hit')} AS cache_hit_requests,
-      round(avg(latency_ms), 2) AS avg_latency_ms, round(max(latency_ms), 2) AS max_latency_ms,
+      {_settled('avg(latency_ms)', 2)} AS avg_latency_ms, round(max(latency_ms), 2) AS max_latency_ms,
       round(quantile_cont(latency_ms, 0.5), 2) AS p50_latency_ms,
       round(quantile_cont(latency_ms, 0.95), 2) AS p95_latency_ms,
       round(quantile_cont(latency_ms, 0.99), 2) AS p99_latency_ms,
       round(quantile_cont(CASE WHEN NOT cache_hit THEN latency_ms END, 0.5), 2) AS p50_latency_ms_non_cached,
       round(quantile_cont(CASE WHEN NOT cache_hit THEN latency_ms END, 0.99), 2) AS p99_latency_ms_non_cached,
-      round(avg(total_tokens), 0) AS avg_tokens_per_request, sum(total_tokens)::BIGINT AS total_tokens,
-      round(sum(cost_usd), 4) AS total_cost_usd, round(avg(cost_usd), 8) AS avg_cost_per_request
+      {_settled('avg(total_tokens)', 0)} AS avg_tokens_per_request, sum(total_tokens)::BIGINT AS total_tokens,
+      {_settled('sum(cost_usd)', 4)} AS total_cost_usd, {_settled('avg(cost_usd)', 8)} AS avg_cost_per_request
     FROM stg_inference WHERE is_success GROUP BY ALL""",
     "job_performance_sla": f"""
     SELECT *, round(cache_hit_requests::DOUBLE / total_requests, 4) AS cache_hit_rate,

@@ -50,6 +50,15 @@ def round_half_away(value: Column, digits: int) -> Column:
     return F.round(value * F.lit(scale), 0) / F.lit(scale)
 
 
+def round_accumulated(value: Column, digits: int) -> Column:
+    """Round a sum or mean of doubles so that decimal ties fall the same way on every run.
+
+    The last bits of such a figure depend on the order in which tasks add. Rounding to six
+    more digits first drops that noise, which would otherwise decide a tie.
+    """
+    return round_half_away(round_half_away(value, digits + 6), digits)
+
+
 def fixed_point_sum(value: Column, digits: int) -> Column:
     """Sum of values that carry ``digits`` decimals, added up as whole numbers.
 

@@ -116,11 +116,11 @@ def _figures(df: DataFrame, suite: Sequence[Expectation]) -> DataFrame:
             else:
                 frames.append(select_percentiles(df, [], e.column, wanted))
         elif e.kind == "unique":
-            copies = df.filter(value.isNotNull()).groupBy(e.column).agg(F.count(F.lit(1)).alias("copies"))
-            frames.append(
-                copies.agg(F.coalesce(F.sum(F.when(F.col("copies") > 1, F.col("copies"))), F.lit(0))
-                           .alias(f"failing_{i}"))
-            )
+            # The NULL group is left out of the sum rather than filtered first: a pushed-down
+            # filter would keep this branch from sharing the shuffle of the others.
+            copies = df.groupBy(e.column).agg(F.count(F.lit(1)).alias("copies"))
+            repeated = F.when(value.isNotNull() & (F.col("copies") > 1), F.col("copies"))
+            frames.append(copies.agg(F.coalesce(F.sum(repeated), F.lit(0)).alias(f"failing_{i}")))
     return zip_on_keys([df.agg(*columns), *frames], []) if frames else df.agg(*columns)
 
 

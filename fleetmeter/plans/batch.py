@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fleetmeter.operators import dedup, enrich, merge, quality
 from fleetmeter.operators.maintenance import optimize_tables
 from fleetmeter.plans import marts, staging
-from fleetmeter.session import spill_to_table
+from fleetmeter.session import input_bytes, prepare, spill_to_table
 from fleetmeter.sources import files, tables
 
 # Where each raw input lies below the bronze root.
@@ -40,20 +40,21 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 def build_silver(spark: SparkSession, bronze: str, silver: str, as_of: datetime | None = None,
                  overwrite: bool = True, fmt: str = tables.DEFAULT_FORMAT) -> dict[str, int]:
     """Write the three silver tables and apply late completions; returns their row counts."""
-    raw = {name: f"{bronze}/{folder}" for name, folder in BRONZE_FOLDERS.items()}
-    jobs, n_jobs = _counted(
-        enrich.silver_jobs(files.read_job_events(spark, raw["job_events"]), as_of), "jobs"
-    )
+    at = {name: f"{bronze}/{folder}" for name, folder in BRONZE_FOLDERS.items()}
+    raw_jobs = files.read_job_events(spark, at["job_events"])
+    raw_completions = files.read_job_completions(spark, at["job_completions"])
+    raw_inference = files.read_inference_logs(spark, at["inference_logs"])
+    raw_metrics = files.read_node_metrics(spark, at["node_metrics"])
+    prepare(spark, max(input_bytes(df) for df in (raw_jobs, raw_completions, raw_inference, raw_metrics)))
+
+    jobs, n_jobs = _counted(enrich.silver_jobs(raw_jobs, as_of), "jobs")
     merge.upsert_jobs(spark, jobs, f"{silver}/jobs", overwrite, fmt)
-    completions = dedup.dedup_completions(files.read_job_completions(spark, raw["job_completions"]))
-    merge.merge_completions_table(spark, f"{silver}/jobs", completions, as_of, fmt=fmt)
-    inference, n_inference = _counted(
-        enrich.silver_inference(files.read_inference_logs(spark, raw["inference_logs"]), as_of), "inference"
+    merge.merge_completions_table(
+        spark, f"{silver}/jobs", dedup.dedup_completions(raw_completions), as_of, fmt=fmt
     )
+    inference, n_inference = _counted(enrich.silver_inference(raw_inference, as_of), "inference")
     merge.upsert_inference(spark, inference, f"{silver}/inference", overwrite, fmt)
-    metrics, n_metrics = _counted(
-        enrich.silver_node_metrics(files.read_node_metrics(spark, raw["node_metrics"]), as_of), "node_metrics"
-    )
+    metrics, n_metrics = _counted(enrich.silver_node_metrics(raw_metrics, as_of), "node_metrics")
     merge.upsert_node_metrics(spark, metrics, f"{silver}/node_metrics", overwrite, fmt)
     seen = {"jobs": n_jobs, "inference": n_inference, "node_metrics": n_metrics}
     return {name: o.get["rows"] for name, o in seen.items()}
