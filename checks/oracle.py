@@ -483,6 +483,10 @@ def _reads() -> dict[str, str]:
                                   "hour(timestamp)::INTEGER AS log_hour FROM inference",
         "inference_stream_ingest": f"{STREAM_ROWS}, i.timestamp::DATE AS log_date, "
                                    f"hour(i.timestamp)::INTEGER AS log_hour {STREAM_JOIN}",
+        **dict.fromkeys(
+            ["rate_limited_micro_batch", "restart_exactly_once"],
+            f"{STREAM_ROWS}, i.timestamp::DATE AS log_date, hour(i.timestamp)::INTEGER AS log_hour {STREAM_JOIN}",
+        ),
     }
 
 
@@ -585,6 +589,9 @@ def _quality() -> dict[str, str]:
     WHERE gpu_count - (CASE WHEN exit_code = 1 THEN 1 ELSE 0 END) < 1
     UNION ALL
     SELECT 'ended_not_after_start', count(*) FROM merged_jobs WHERE ended_at <= started_at""",
+        "promote_if_passed": "SELECT * FROM cost_attribution",
+        "materialize_gold": "SELECT * FROM gpu_utilization_hourly",
+        "optimize_tables": "SELECT * FROM job_performance_sla",
         "compact_zorder": "SELECT * FROM silver_inference",
     }
 

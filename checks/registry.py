@@ -17,7 +17,7 @@ from checks import fixtures as X
 from fleetmeter import session
 from fleetmeter.functions import scalars as S
 from fleetmeter.operators import dedup, enrich, filters, maintenance, merge, quality
-from fleetmeter.plans import marts, reads, staging
+from fleetmeter.plans import batch, marts, reads, staging
 from fleetmeter.sources import files, messages, tables
 from fleetmeter.streaming import health, ingest
 
@@ -331,6 +331,8 @@ def _builders() -> dict[str, Callable[[Inputs], DataFrame]]:
         "inference_stream_ingest": lambda i: i.drained(
             ingest.inference_stream(ingest.file_stream_source(i.spark, i.envelope_files(), max_files=2)), "log_date"
         ).drop("_stream_ingested_at"),
+        "rate_limited_micro_batch": lambda i: _ingested(i, 1),
+        "restart_exactly_once": lambda i: _ingested(i, 2),
         # data quality
         "expect_row_count_between": lambda i: quality.run_expectations(
             i.merged_jobs(), [quality.expect_row_count_between(500), quality.expect_row_count_between(None, 10)]),
@@ -371,7 +373,10 @@ def _builders() -> dict[str, Callable[[Inputs], DataFrame]]:
             cost(i).withColumn("total_cost_usd", S.round_half_away(col("total_cost_usd") - 500.0, 4))),
         "sanity_jobs": lambda i: quality.sanity_jobs(
             i.merged_jobs().withColumn("gpu_count", col("gpu_count") - F.when(col("exit_code") == 1, 1).otherwise(0))),
-        # maintenance
+        "promote_if_passed": _promoted,
+        # stored gold and maintenance
+        "materialize_gold": lambda i: _gold(i)["gpu_utilization_hourly"],
+        "optimize_tables": _optimized,
         "compact_zorder": lambda i: maintenance.compact_table(
             i.spark,
             _stored(i, i.silver_inference().drop("_ingested_at"), ["log_date"]),
@@ -380,6 +385,44 @@ def _builders() -> dict[str, Callable[[Inputs], DataFrame]]:
     }
 
 
+def _stored_silver(i: Inputs) -> str:
+    root = i.scratch("silver")
+    for df, name, day in (
+        (i.merged_jobs(), "jobs", "job_date"),
+        (i.silver_inference(), "inference", "log_date"),
+        (i.silver_node_metrics(), "node_metrics", "metric_date"),
+    ):
+        tables.write_partitioned_overwrite(df, f"{root}/{name}", [day])
+    return root
+
+
+def _gold(i: Inputs) -> dict[str, DataFrame]:
+    return batch.materialize_gold(i.spark, _stored_silver(i), i.scratch("gold"), AS_OF)
+
+
+def _promoted(i: Inputs) -> DataFrame:
+    silver = _stored_silver(i)
+    checks = quality.silver_jobs_gate(tables.scan_table(i.spark, f"{silver}/jobs"))
+    return quality.promote_if_passed(
+        checks, lambda: batch.materialize_gold(i.spark, silver, i.scratch("gold"), AS_OF)["cost_attribution"]
+    )
+
+
+def _optimized(i: Inputs) -> DataFrame:
+    silver, gold = _stored_silver(i), i.scratch("gold")
+    batch.materialize_gold(i.spark, silver, gold, AS_OF)
+    return maintenance.optimize_tables(i.spark, silver, gold)["job_performance_sla"]
+
+
+def _ingested(i: Inputs, starts: int) -> DataFrame:
+    """Ingest file by file, starting the query ``starts`` times on one checkpoint."""
+    source, path, checkpoint = i.envelope_files(), i.scratch("stream-table"), i.scratch("stream-checkpoint")
+    for _ in range(starts):
+        stream = ingest.file_stream_source(i.spark, source, max_files=1)
+        ingest.inference_stream_ingest(stream, path, checkpoint, drain=True).awaitTermination()
+    return tables.scan_table(i.spark, path).drop("_stream_ingested_at")
+
+
 def _stored(i: Inputs, df: DataFrame, partition_by: list[str]) -> str:
     path = i.scratch("table")
     tables.write_partitioned_overwrite(df, path, partition_by)

@@ -13,8 +13,9 @@ a checked size, ``select_percentiles`` narrows in on the wanted ranks instead:
 A bucket function only has to be monotone. The first is logarithmic, 1/1024 of a
 natural-log unit wide; the second cuts a bucket linearly into 2^20 pieces. What is
 left holds at most a few million distinct doubles, whatever the row count, and in
-practice one. Each pass is a column-pruned scan; the rank tables are written to the
-scratch folder so that their true size decides whether they are broadcast.
+practice one. Each pass is a column-pruned scan, of a scratch table where the input is
+not a table already; the rank tables are written to the scratch folder so that their
+true size decides whether they are broadcast.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetmeter.session import input_bytes, spill_to_table
+from fleetmeter.session import input_bytes, scannable, spill_to_table
 
 IN_MEMORY_BYTES = 64 * 1024 * 1024
 COARSE_PER_LOG_UNIT = 1024
@@ -139,8 +140,8 @@ def select_percentiles(df: DataFrame, keys: Sequence[str], value: str, wanted: S
             ),
         )
         .filter(F.col("_v").isNotNull())
-        .withColumn("_b1", _coarse_bucket(F.col("_v")))
     )
+    rows = scannable(rows, "ranks-input").withColumn("_b1", _coarse_bucket(F.col("_v")))
 
     whole = Window.partitionBy(*keys)
     coarse = _running(_counts(rows.groupBy(*keys, "_b1"), n), keys, "_b1", n)

@@ -24,6 +24,7 @@ from fleetmeter.functions.relational import zip_on_keys
 from fleetmeter.functions.scalars import round_accumulated as settle
 from fleetmeter.functions.scalars import round_half_away as rnd
 from fleetmeter.operators.filters import successful_requests, with_job_date
+from fleetmeter.session import scannable
 
 Method = Literal["auto", "in_memory", "selection", "approx"]
 
@@ -89,6 +90,8 @@ def gpu_utilization_hourly(staged_metrics: DataFrame, method: Method = "auto") -
             F.count_if(temp > 85).alias("thermal_warning_count"),
         )
     else:
+        columns = [*UTILIZATION_GRAIN, "node_id", "gpu_id", "gpu_util_pct", "memory_util_pct", "temp_celsius", "power_watts"]
+        staged_metrics = scannable(staged_metrics.select(*columns), "utilization-input")
         hourly = zip_on_keys(
             [
                 _hourly_totals(staged_metrics),
@@ -181,6 +184,8 @@ def job_performance_sla(staged_inference: DataFrame, method: Method = "auto") ->
     elif method == "approx":
         daily = served.groupBy(*SLA_GRAIN).agg(*totals, *approx_percentile_columns("latency_ms", wanted))
     else:
+        columns = [*SLA_GRAIN, "cache_hit", "latency_ms", "total_tokens", "cost_usd"]
+        served = scannable(served.select(*columns), "sla-input")
         daily = zip_on_keys(
             [served.groupBy(*SLA_GRAIN).agg(*totals), select_percentiles(served, SLA_GRAIN, "latency_ms", wanted)],
             SLA_GRAIN,

@@ -87,6 +87,13 @@ def spill_to_table(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def scannable(df: DataFrame, label: str) -> DataFrame:
+    """A frame that is cheap to read several times: ``df`` itself where its plan is a mere
+    scan, else its result as a scratch table, so that no shuffle is repeated per pass."""
+    shuffles = "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+    return spill_to_table(df, label) if shuffles else df
+
+
 def as_of_column(as_of: datetime | None) -> Column:
     """The reference instant as a timestamp column; the wall clock when not pinned."""
     if as_of is None:
