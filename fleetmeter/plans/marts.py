@@ -1,8 +1,8 @@
 """The three gold marts.
 
 Sums, counts and extrema combine map-side, so a hot group costs one row per task.
-The percentile marts have two plans: one aggregate while their input is small, and
-rank selection beyond that (see ``functions.percentiles``).
+Percentiles come from one aggregate while the input is small, and from rank selection
+beyond that (see ``functions.percentiles``).
 """
 
 from __future__ import annotations
@@ -69,40 +69,19 @@ def _resolve(df: DataFrame, method: Method) -> Method:
 
 def gpu_utilization_hourly(staged_metrics: DataFrame, method: Method = "auto") -> DataFrame:
     """Hourly load, heat, power and capacity signals per GPU type and rack."""
-    util, temp = F.col("gpu_util_pct"), F.col("temp_celsius")
     wanted = [Percentile("p50_gpu_util_pct", 0.50), Percentile("p95_gpu_util_pct", 0.95)]
     method = _resolve(staged_metrics, method)
 
-    if method == "in_memory":
-        hourly = staged_metrics.groupBy(*UTILIZATION_GRAIN).agg(
-            F.avg(util).alias("avg_gpu_util_pct"),
-            *percentile_columns("gpu_util_pct", wanted),
-            F.max(util).alias("max_gpu_util_pct"),
-            F.avg("memory_util_pct").alias("avg_memory_util_pct"),
-            F.max("memory_util_pct").alias("max_memory_util_pct"),
-            F.avg(temp).alias("avg_temp_celsius"),
-            F.max(temp).alias("max_temp_celsius"),
-            F.sum("power_watts").alias("power_watts"),
-            F.count_distinct("node_id").alias("active_nodes"),
-            F.count_distinct("gpu_id").alias("active_gpus"),
-            F.count_if(util > 90).alias("high_util_gpu_count"),
-            F.count_if(util < 10).alias("idle_gpu_count"),
-            F.count_if(temp > 85).alias("thermal_warning_count"),
-        )
-    else:
-        columns = [*UTILIZATION_GRAIN, "node_id", "gpu_id", "gpu_util_pct", "memory_util_pct", "temp_celsius", "power_watts"]
+    if method == "selection":
+        columns = [
+            *UTILIZATION_GRAIN, "node_id", "gpu_id", "gpu_util_pct", "memory_util_pct", "temp_celsius", "power_watts"
+        ]
         staged_metrics = scannable(staged_metrics.select(*columns), "utilization-input")
-        hourly = zip_on_keys(
-            [
-                _hourly_totals(staged_metrics),
-                select_percentiles(staged_metrics, UTILIZATION_GRAIN, "gpu_util_pct", wanted)
-                if method == "selection"
-                else staged_metrics.groupBy(*UTILIZATION_GRAIN).agg(
-                    *approx_percentile_columns("gpu_util_pct", wanted)
-                ),
-            ],
-            UTILIZATION_GRAIN,
-        )
+        percentiles = select_percentiles(staged_metrics, UTILIZATION_GRAIN, "gpu_util_pct", wanted)
+    else:
+        in_one_pass = percentile_columns if method == "in_memory" else approx_percentile_columns
+        percentiles = staged_metrics.groupBy(*UTILIZATION_GRAIN).agg(*in_one_pass("gpu_util_pct", wanted))
+    hourly = zip_on_keys([_hourly_totals(staged_metrics), percentiles], UTILIZATION_GRAIN)
 
     def rounded(c: str, digits: int = 2) -> Column:
         return rnd(F.col(c), digits).alias(c)

@@ -1,8 +1,6 @@
 from datetime import date, datetime
 
 import pytest
-from pyspark.sql import functions as F
-
 from conftest import NOW
 from fleetmeter.operators import filters
 from fleetmeter.plans import marts, reads

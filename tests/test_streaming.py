@@ -1,8 +1,5 @@
 import json
 
-import pytest
-from pyspark.sql import functions as F
-
 from conftest import NOW, ago
 from fleetmeter import schemas
 from fleetmeter.operators import enrich
