@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, packing, topk
+from . import bpe, exact_dedup, minhash, packing, topk
 from .support import table
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -29,6 +33,26 @@ def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
+_OP1_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM w
+), e AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM s),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e AS a JOIN e AS b ON a.t = b.t AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), l AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT a AS node, b AS other FROM l UNION SELECT r.node, l.b FROM r JOIN l ON l.a = r.other),
+c AS (SELECT node, min(other) AS least_id FROM r GROUP BY node)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(least_id, doc_id)) AS component_id,
+       doc_id = least(doc_id, coalesce(least_id, doc_id)) AS kept
+FROM s LEFT JOIN c ON node = doc_id
+"""
+
 _OP2_SQL = """
 WITH t AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256, coalesce(text, '') AS text FROM documents),
      g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text)
@@ -52,4 +76,4 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": _OP2_SQL, "op7_exact_top_k": _OP7_SQL}
+    return {"op1_minhash": _OP1_SQL, "op2_exact_dedup": _OP2_SQL, "op7_exact_top_k": _OP7_SQL}

@@ -164,3 +164,12 @@ def gathered(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndar
     if not len(total) or total[-1] == 0:
         return flat[:0]
     return flat[np.repeat(start - (total - length), length) + np.arange(total[-1])]
+
+
+#: Ids that are broadcast at most (8 bytes each, 32 MB in all); beyond it the join shuffles.
+BROADCAST_IDS = 4_000_000
+
+
+def joined_small(df: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
+    """Join with a stored table of ids: broadcast if its counted rows are few enough."""
+    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, how)
