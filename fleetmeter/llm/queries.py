@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, minhash, packing, topk
+from . import bpe, exact_dedup, language, minhash, packing, substring, topk
 from .support import table
 
 
@@ -17,6 +17,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.substring_dedup(table(spark, sf_dir, "documents"), window=50)
+
+
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -29,6 +33,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -59,6 +67,25 @@ WITH t AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256, coalesce(te
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM t JOIN g USING (text)
 """
 
+_OP4_SQL = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT doc_id, unnest(range(1, len(w) - 48)) AS p, w FROM w WHERE len(w) >= 50
+), h AS (
+  SELECT doc_id, p, md5(array_to_string(w[p : p + 49], ' ')) AS h FROM s
+), m AS (
+  SELECT h, min(doc_id) AS least_id FROM h GROUP BY h
+), g AS (
+  SELECT doc_id, list_distinct(flatten(list(range(p, p + 50)))) AS gone FROM h JOIN m USING (h) WHERE doc_id > least_id GROUP BY doc_id
+), k AS (
+  SELECT w.doc_id, len(w) AS n, len(coalesce(gone, [])) AS removed,
+         CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(gone, i)) END AS kept
+  FROM w LEFT JOIN g ON w.doc_id = g.doc_id
+)
+SELECT doc_id, n AS n_words, CAST(removed AS BIGINT) AS n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM k
+"""
+
 _OP7_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -76,4 +103,4 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash": _OP1_SQL, "op2_exact_dedup": _OP2_SQL, "op7_exact_top_k": _OP7_SQL}
+    return {"op1_minhash": _OP1_SQL, "op2_exact_dedup": _OP2_SQL, "op4_substring_dedup": _OP4_SQL, "op7_exact_top_k": _OP7_SQL}
