@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language, minhash, packing, pii, substring, topk
+from . import bpe, exact_dedup, language, licenses, masked_lm, minhash, packing, pii, substring, topk
 from .support import table
 
 
@@ -17,10 +17,18 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op3_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return masked_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.substring_dedup(table(spark, sf_dir, "documents"), window=50)
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents"))
 
@@ -96,6 +104,31 @@ WITH w AS (
 SELECT doc_id, n AS n_words, CAST(removed AS BIGINT) AS n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM k
 """
 
+def _sql_map(table: dict[str, str]) -> str:
+    return "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in table.items()) + "}"
+
+
+def _op5_sql() -> str:
+    def normal(x: str) -> str:
+        return f"trim(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g'))"
+
+    return f"""
+WITH s AS (
+  SELECT doc_id, list_transform(regexp_split_to_array(coalesce(text, '') || ' ', '{licenses.SENTENCE_END}'),
+    lambda x: coalesce(k[{normal('x')}], k[{normal("split_part(x, chr(10), -1)")}])) AS ids
+  FROM documents, (SELECT {_sql_map(licenses.known_sentences())} AS k)
+), i AS (
+  SELECT doc_id, list_filter(ids, lambda x: x IS NOT NULL) AS ids FROM s
+), r AS (
+  SELECT doc_id, ids, list_transform(regexp_extract_all(array_to_string(ids, ''), '{licenses.rule_pattern()}'), lambda x: n[x]) AS names
+  FROM i, (SELECT {_sql_map(licenses.rule_names())} AS n)
+)
+SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_sentences, coalesce(array_to_string(ids, ' '), '') AS sentence_ids,
+       coalesce(array_to_string(list_filter(names, lambda x, j: list_position(names, x) = j), ','), '') AS licenses
+FROM r
+"""
+
+
 _OP7_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -113,4 +146,4 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash": _OP1_SQL, "op2_exact_dedup": _OP2_SQL, "op4_substring_dedup": _OP4_SQL, "op7_exact_top_k": _OP7_SQL}
+    return {"op1_minhash": _OP1_SQL, "op2_exact_dedup": _OP2_SQL, "op4_substring_dedup": _OP4_SQL, "op5_licenses": _op5_sql(), "op7_exact_top_k": _OP7_SQL}

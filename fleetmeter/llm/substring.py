@@ -25,40 +25,17 @@ from pyspark.sql import functions as F
 
 from fleetmeter.session import input_bytes, spill_to_table
 
-from .support import SpanHasher, document_words, joined_small, picked, text_bytes, word_bounds
+from .support import SpanHasher, document_chunks, joined_small, picked, text_bytes, word_bounds
 
 #: A perfect difference set modulo 31 (every remainder is a difference of two members).
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
-#: Words of a chunk, and input bytes per hash bucket.
-CHUNK_WORDS, BUCKET_BYTES = 2_000_000, 4 * 1024 * 1024
+#: Input bytes per hash bucket.
+BUCKET_BYTES = 4 * 1024 * 1024
 
 _MESSAGE = "bucket long, settled boolean, base long, hash binary, proof binary, doc binary, place binary"
 _SECOND_BASE = 0xC2B2AE3D27D4EB4F
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], extra: str | None = None):
-    """(doc ids, their extra cells, words of all, where each document's words begin) of chunks of whole documents."""
-    hasher, ids, cells, parts, size = SpanHasher(), [], [], [], 0
-    for batch in batches:
-        names = batch.column("doc_id").to_pylist()
-        extras = batch.column(extra) if extra else None
-        for row, words in document_words(batch, hasher, lower=False):
-            ids.append(names[row])
-            cells.append(extras[row].values.to_numpy(zero_copy_only=False) if extra else None)
-            parts.append(words)
-            size += len(words)
-            if size >= CHUNK_WORDS:
-                yield _chunk(ids, cells, parts)
-                ids, cells, parts, size = [], [], [], 0
-    if ids:
-        yield _chunk(ids, cells, parts)
-
-
-def _chunk(ids, cells, parts):
-    lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-    return np.array(ids, np.int64), cells, np.concatenate(parts), np.concatenate(([0], np.cumsum(lengths)))
-
-
 def _messages(hashes, proof, docs, places, settled, buckets: int) -> Iterator[pa.RecordBatch]:
     """Entries packed by bucket; documents as distances from the least one."""
     if not len(hashes):
@@ -104,7 +81,7 @@ def _anchors(window: int, buckets: int):
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = SpanHasher()
-        for ids, _, words, at in _chunks(batches):
+        for ids, _, words, at in document_chunks(batches, lower=False):
             size = np.diff(at)
             place = np.arange(len(words)) - np.repeat(at[:-1], size)
             of_doc = np.repeat(np.arange(len(ids)), size)
@@ -143,7 +120,7 @@ def _shared(rows: pd.DataFrame) -> pd.DataFrame:
 def _windows(window: int, buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, second = SpanHasher(), SpanHasher(_SECOND_BASE)
-        for ids, anchors, words, at in _chunks(batches, "places"):
+        for ids, anchors, words, at in document_chunks(batches, lower=False, extra="places"):
             size = np.diff(at)
             # Window starts from which an anchor can be reached, by marking where such stretches begin and end.
             edge = np.zeros(len(words) + 1, np.int64)

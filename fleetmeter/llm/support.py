@@ -147,6 +147,33 @@ def _bounds_within(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
     return start, np.flatnonzero(word & ~after) + 1
 
 
+#: Words of a chunk of whole documents.
+CHUNK_WORDS = 2_000_000
+
+
+def document_chunks(batches: Iterator[pa.RecordBatch], lower: bool, extra: str | None = None):
+    """(doc ids, their extra cells, words of all, where each document's words begin) of chunks of whole documents."""
+    hasher, ids, cells, parts, size = SpanHasher(), [], [], [], 0
+    for batch in batches:
+        names = batch.column("doc_id").to_pylist()
+        extras = batch.column(extra) if extra else None
+        for row, words in document_words(batch, hasher, lower):
+            ids.append(names[row])
+            cells.append(extras[row].values.to_numpy(zero_copy_only=False) if extra else None)
+            parts.append(words)
+            size += len(words)
+            if size >= CHUNK_WORDS:
+                yield _chunk(ids, cells, parts)
+                ids, cells, parts, size = [], [], [], 0
+    if ids:
+        yield _chunk(ids, cells, parts)
+
+
+def _chunk(ids, cells, parts):
+    lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+    return np.array(ids, np.int64), cells, np.concatenate(parts), np.concatenate(([0], np.cumsum(lengths)))
+
+
 def shingles(words: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all runs of n words in order; a shorter text is one run; no word, no run."""
     if len(words) == 0:
