@@ -184,12 +184,13 @@ def exact_dedup(docs: DataFrame, keep: str = "smallest") -> DataFrame:
     empty texts form one group. Rows without doc_id belong to no group and are left out.
     Repeated rows count each; when the id that stays is repeated, all its rows have kept=true.
     keep: "smallest" or "largest" doc_id stays. An empty table gives an empty result.
-    Returns doc_id, keep_id, group_size, kept, text_sha256 (lower-case hex).
+    Returns doc_id, keep_id, group_size, kept, text_sha256 (lower-case hex) and row, a hash of the text.
     """
     if keep not in ("smallest", "largest"):
         raise ValueError("keep is smallest or largest")
-    rows = picked(docs).where("doc_id is not null").select("doc_id", F.unhex(F.sha2(filled().cast("binary"), 256)).alias("digest"))
+    digest = F.unhex(F.sha2(filled().cast("binary"), 256))
+    rows = picked(docs).where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("row"), digest.alias("digest"))
     return rows.join(owners(docs, keep), "digest").select(
         "doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"),
-        F.lower(F.hex("digest")).alias("text_sha256"),
+        F.lower(F.hex("digest")).alias("text_sha256"), "row",
     )

@@ -161,14 +161,14 @@ def identify(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
     without a letter is "und" with score 0, and so is every text if nothing could be learnt. Ties
     go to the language that sorts first. Repeated rows come out as often; a row without doc_id is
     predicted, neither held out nor learnt from. An empty table gives an empty result.
-    Returns doc_id, held_out, lang_pred, score (the cosine, not below 0, to six decimals).
+    Returns doc_id, held_out, lang_pred, score (the cosine, not below 0, to six decimals) and row, a hash of the text.
     """
     if dimensions % 64:
         raise ValueError("dimensions is a multiple of 64")
     ident = F.col("doc_id").cast("string").cast("binary")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), filled().cast("string").alias("text"), F.col("lang").cast("string").alias("lang"),
-        F.coalesce(F.crc32(ident) % 4 == 2, F.lit(False)).alias("held_out"))
+        F.coalesce(F.crc32(ident) % 4 == 2, F.lit(False)).alias("held_out"), F.xxhash64(F.col("text").cast("string")).alias("row"))
     profiles = learn(rows.where("NOT held_out AND lang IS NOT NULL AND doc_id IS NOT NULL").select("lang", "text"), dimensions)
     names = sorted(profiles)
     matrix = np.array([profiles[n] / (np.linalg.norm(profiles[n]) or 1) for n in names]).reshape(len(names), dimensions)
@@ -188,7 +188,7 @@ def identify(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
                     pred += [UNKNOWN] * len(bundles)
                     score += [0.0] * len(bundles)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(pred, pa.string()), pa.array(score, pa.float64())],
-                ["doc_id", "held_out", "lang_pred", "score"])
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(pred, pa.string()), pa.array(score, pa.float64()), batch.column("row")],
+                ["doc_id", "held_out", "lang_pred", "score", "row"])
 
-    return rows.select("doc_id", "text", "held_out").mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")
+    return rows.select("doc_id", "text", "held_out", "row").mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double, row long")

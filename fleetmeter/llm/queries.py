@@ -14,7 +14,7 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
+    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="largest").drop("row")
 
 
 def op3_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language.identify(table(spark, sf_dir, "documents"))
+    return language.identify(table(spark, sf_dir, "documents")).drop("row")
 
 
 def queries() -> dict:
