@@ -26,7 +26,6 @@ FROM_RAW = [
     "dedup_jobs", "dedup_node_metrics", "silver_jobs", "silver_inference", "silver_node_metrics",
     "merge_completions", "upsert_merge", "int_job_costs",
     "cost_attribution", "gpu_utilization_hourly", "job_performance_sla",
-    "job_performance_sla_selection", "gpu_utilization_hourly_selection",
     "silver_jobs_gate", "test_unique", "parse_stream_payload", "read_job_events", "upsert_jobs",
     "inference_stream_ingest", "compact_zorder",
 ]

@@ -29,8 +29,8 @@ METRIC_COLUMNS = [
 COST_KEY = ["job_date", "org_id", "user_id", "model_arch", "gpu_tier", "gpu_type", "framework"]
 
 
-def _first_of(table: str, columns: list[str], keys: list[str]) -> str:
-    rank = ", ".join(f"{c} ASC NULLS FIRST" for c in columns if c not in keys)
+def _first_of(table: str, columns: list[str], keys: list[str], prefer: str = "") -> str:
+    rank = prefer + ", ".join(f"{c} ASC NULLS FIRST" for c in columns if c not in keys)
     return f"""
     SELECT {', '.join(columns)} FROM {table}
     QUALIFY row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {rank}) = 1"""
@@ -63,22 +63,12 @@ def _tally(condition: str) -> str:
     return f"sum(CASE WHEN {condition} THEN 1 ELSE 0 END)::BIGINT"
 
 
-def _settled(value: str, digits: int) -> str:
-    """Round an accumulated double twice, so that the order of addition cannot decide a tie."""
-    return f"round(round({value}, {digits + 6}), {digits})"
+def _sum(value: str) -> str:
+    return f"sum(({value})::DECIMAL(38, 9))::DOUBLE"
 
 
-def _exact_sum(value: str, digits: int) -> str:
-    """Sum of decimals with a known number of digits, free of the order of addition."""
-    return f"(sum(round(({value}) * 1e{digits}::DOUBLE)::BIGINT)::DOUBLE / 1e{digits}::DOUBLE)"
-
-
-def _exact_avg(value: str, digits: int) -> str:
-    return f"({_exact_sum(value, digits)} / nullif(count({value}), 0))"
-
-
-def _mean_if(value: str, condition: str) -> str:
-    return f"avg(CASE WHEN {condition} THEN {value} END)"
+def _avg(value: str) -> str:
+    return f"({_sum(value)} / nullif(count({value}), 0))"
 
 
 CTES: dict[str, str] = {
@@ -90,8 +80,8 @@ CTES: dict[str, str] = {
     "completions_bronze": X.completions_bronze(),
     "inference_bronze": X.inference_bronze(),
     "envelope": X.envelope(X.DUCKDB, "NULL"),
-    "jobs_once": _first_of("jobs_bronze", JOB_COLUMNS, ["job_id"]),
-    "completions": _first_of("completions_bronze", COMPLETION_COLUMNS, ["job_id"]),
+    "jobs_once": _first_of("jobs_bronze", JOB_COLUMNS, ["job_id"], "ended_at DESC NULLS LAST, "),
+    "completions": _first_of("completions_bronze", COMPLETION_COLUMNS, ["job_id"], "ended_at DESC NULLS LAST, "),
     "inference_once": _first_of("inference_bronze", REQUEST_COLUMNS, ["request_id"]),
     "metrics_once": _first_of("node_metrics", METRIC_COLUMNS, ["gpu_id", "timestamp"]),
     "silver_jobs": f"""
@@ -140,9 +130,9 @@ CTES: dict[str, str] = {
     SELECT {', '.join(COST_KEY)}, count(*) AS total_jobs,
       {_tally("job_status = 'succeeded'")} AS succeeded_jobs, {_tally("job_status = 'oom_killed'")} AS oom_jobs,
       {_tally("job_status = 'failed'")} AS failed_jobs, {_tally("job_status = 'running'")} AS running_jobs,
-      round({_exact_sum('cost_usd', 6)}, 4) AS total_cost_usd, {_settled('sum(gpu_hours)', 4)} AS total_gpu_hours,
-      round({_exact_avg("CASE WHEN job_status = 'succeeded' THEN cost_usd END", 6)}, 4) AS avg_cost_per_success_usd,
-      {_settled(_mean_if('billable_hours', "job_status = 'succeeded'"), 4)} AS avg_duration_hours,
+      round({_sum('cost_usd')}, 4) AS total_cost_usd, round({_sum('gpu_hours')}, 4) AS total_gpu_hours,
+      round({_avg("CASE WHEN job_status = 'succeeded' THEN cost_usd END")}, 4) AS avg_cost_per_success_usd,
+      round({_avg("CASE WHEN job_status = 'succeeded' THEN billable_hours END")}, 4) AS avg_duration_hours,
       round(max(billable_hours), 4) AS max_duration_hours
     FROM int_job_costs WHERE job_date IS NOT NULL GROUP BY ALL""",
     "cost_attribution": f"""
@@ -153,13 +143,13 @@ CTES: dict[str, str] = {
     FROM cost_totals""",
     "hour_totals": f"""
     SELECT hour_bucket, metric_date, gpu_type, gpu_tier, rack_id,
-      {_settled('avg(gpu_util_pct)', 2)} AS avg_gpu_util_pct,
+      round({_avg('gpu_util_pct')}, 2) AS avg_gpu_util_pct,
       round(quantile_cont(gpu_util_pct, 0.5), 2) AS p50_gpu_util_pct,
       round(quantile_cont(gpu_util_pct, 0.95), 2) AS p95_gpu_util_pct,
       round(max(gpu_util_pct), 2) AS max_gpu_util_pct,
-      {_settled('avg(memory_util_pct)', 2)} AS avg_memory_util_pct, round(max(memory_util_pct), 2) AS max_memory_util_pct,
-      {_settled('avg(temp_celsius)', 1)} AS avg_temp_celsius, round(max(temp_celsius), 1) AS max_temp_celsius,
-      {_settled('sum(power_watts) / 1000', 2)} AS total_power_kw,
+      round({_avg('memory_util_pct')}, 2) AS avg_memory_util_pct, round(max(memory_util_pct), 2) AS max_memory_util_pct,
+      round({_avg('temp_celsius')}, 1) AS avg_temp_celsius, round(max(temp_celsius), 1) AS max_temp_celsius,
+      round({_sum('power_watts')} / 1000, 2) AS total_power_kw,
       count(DISTINCT node_id) AS active_nodes, count(DISTINCT gpu_id) AS active_gpus,
       {_tally('gpu_util_pct > 90')} AS high_util_gpu_count, {_tally('gpu_util_pct < 10')} AS idle_gpu_count,
       {_tally('temp_celsius > 85')} AS thermal_warning_count
@@ -171,14 +161,14 @@ CTES: dict[str, str] = {
     FROM hour_totals""",
     "day_totals": f"""
     SELECT log_date, model_id, region, count(*) AS total_requests, {_tally('cache_hit')} AS cache_hit_requests,
-      {_settled('avg(latency_ms)', 2)} AS avg_latency_ms, round(max(latency_ms), 2) AS max_latency_ms,
+      round({_avg('latency_ms')}, 2) AS avg_latency_ms, round(max(latency_ms), 2) AS max_latency_ms,
       round(quantile_cont(latency_ms, 0.5), 2) AS p50_latency_ms,
       round(quantile_cont(latency_ms, 0.95), 2) AS p95_latency_ms,
       round(quantile_cont(latency_ms, 0.99), 2) AS p99_latency_ms,
       round(quantile_cont(CASE WHEN NOT cache_hit THEN latency_ms END, 0.5), 2) AS p50_latency_ms_non_cached,
       round(quantile_cont(CASE WHEN NOT cache_hit THEN latency_ms END, 0.99), 2) AS p99_latency_ms_non_cached,
-      {_settled('avg(total_tokens)', 0)} AS avg_tokens_per_request, sum(total_tokens)::BIGINT AS total_tokens,
-      {_settled('sum(cost_usd)', 4)} AS total_cost_usd, {_settled('avg(cost_usd)', 8)} AS avg_cost_per_request
+      round({_avg('total_tokens')}, 0) AS avg_tokens_per_request, sum(total_tokens)::BIGINT AS total_tokens,
+      round({_sum('cost_usd')}, 4) AS total_cost_usd, round({_avg('cost_usd')}, 8) AS avg_cost_per_request
     FROM stg_inference WHERE is_success GROUP BY ALL""",
     "job_performance_sla": f"""
     SELECT *, round(cache_hit_requests::DOUBLE / total_requests, 4) AS cache_hit_rate,
@@ -293,9 +283,9 @@ def _upsert_jobs() -> str:
 
 RECENT_COST = f"FROM cost_attribution WHERE job_date >= {AS_OF_DATE} - 7"
 RECENT_SLA = f"FROM job_performance_sla WHERE log_date >= {AS_OF_DATE} - 7"
-COST_FIGURES = f"""round({_exact_sum('total_cost_usd', 4)}, 2) AS total_usd, round({_exact_sum('total_gpu_hours', 4)}, 1) AS total_gpu_hours,
-      sum(total_jobs)::BIGINT AS total_jobs, round({_exact_avg('success_rate', 4)}, 4) AS avg_success_rate,
-      round({_exact_avg('oom_rate', 4)}, 4) AS avg_oom_rate"""
+COST_FIGURES = f"""round({_sum('total_cost_usd')}, 2) AS total_usd, round({_sum('total_gpu_hours')}, 1) AS total_gpu_hours,
+      sum(total_jobs)::BIGINT AS total_jobs, round({_avg('success_rate')}, 4) AS avg_success_rate,
+      round({_avg('oom_rate')}, 4) AS avg_oom_rate"""
 SLO_FIGURES = """count(CASE WHEN slo_p99_breached THEN 1 END) AS breach_count, count(*) AS total_model_days,
       round(1 - count(CASE WHEN slo_p99_breached THEN 1 END)::DOUBLE / greatest(count(*), 1), 4) AS compliance_rate"""
 SLA_DAY = f"""
@@ -414,27 +404,25 @@ def _aggregates() -> dict[str, str]:
     return {
         "cost_attribution": "SELECT * FROM cost_attribution",
         "gpu_utilization_hourly": "SELECT * FROM gpu_utilization_hourly",
-        "gpu_utilization_hourly_selection": "SELECT * FROM gpu_utilization_hourly",
         "job_performance_sla": "SELECT * FROM job_performance_sla",
-        "job_performance_sla_selection": "SELECT * FROM job_performance_sla",
         "cost_by_org": f"""
-    SELECT org_id, round({_exact_sum('total_cost_usd', 4)}, 4) AS total_cost_usd, round({_exact_sum('total_gpu_hours', 4)}, 2) AS total_gpu_hours,
+    SELECT org_id, round({_sum('total_cost_usd')}, 4) AS total_cost_usd, round({_sum('total_gpu_hours')}, 2) AS total_gpu_hours,
       sum(total_jobs)::BIGINT AS total_jobs, sum(succeeded_jobs)::BIGINT AS succeeded_jobs,
-      sum(oom_jobs)::BIGINT AS oom_jobs, round({_exact_avg('oom_rate', 4)}, 4) AS avg_oom_rate,
-      round({_exact_avg('success_rate', 4)}, 4) AS avg_success_rate
+      sum(oom_jobs)::BIGINT AS oom_jobs, round({_avg('oom_rate')}, 4) AS avg_oom_rate,
+      round({_avg('success_rate')}, 4) AS avg_success_rate
     FROM cost_attribution WHERE job_date > {COST_DATE} - 3 AND job_date <= {COST_DATE} GROUP BY org_id""",
         "cost_by_model": f"""
-    SELECT model_arch, gpu_tier, round({_exact_sum('total_cost_usd', 4)}, 4) AS total_cost_usd,
-      round({_exact_sum('total_gpu_hours', 4)}, 2) AS total_gpu_hours, sum(total_jobs)::BIGINT AS total_jobs,
-      round({_exact_avg('avg_cost_per_success_usd', 4)}, 4) AS avg_cost_per_job,
-      round({_exact_avg('avg_duration_hours', 4)}, 4) AS avg_duration_hours
+    SELECT model_arch, gpu_tier, round({_sum('total_cost_usd')}, 4) AS total_cost_usd,
+      round({_sum('total_gpu_hours')}, 2) AS total_gpu_hours, sum(total_jobs)::BIGINT AS total_jobs,
+      round({_avg('avg_cost_per_success_usd')}, 4) AS avg_cost_per_job,
+      round({_avg('avg_duration_hours')}, 4) AS avg_duration_hours
     FROM cost_attribution WHERE job_date > {COST_DATE} - 7 AND job_date <= {COST_DATE} GROUP BY ALL""",
         "capacity_summary": f"""
     SELECT *, CASE WHEN avg_util_pct <= 65 THEN 'low' WHEN avg_util_pct <= 85 THEN 'medium' ELSE 'high' END
         AS capacity_pressure
-    FROM (SELECT gpu_type, gpu_tier, round({_exact_avg('avg_gpu_util_pct', 2)}, 2) AS avg_util_pct,
-        round(max(p95_gpu_util_pct), 2) AS peak_p95_util_pct, round({_exact_avg('idle_rate', 4)}, 4) AS avg_idle_rate,
-        round({_exact_avg('high_util_rate', 4)}, 4) AS avg_high_util_rate,
+    FROM (SELECT gpu_type, gpu_tier, round({_avg('avg_gpu_util_pct')}, 2) AS avg_util_pct,
+        round(max(p95_gpu_util_pct), 2) AS peak_p95_util_pct, round({_avg('idle_rate')}, 4) AS avg_idle_rate,
+        round({_avg('high_util_rate')}, 4) AS avg_high_util_rate,
         sum(thermal_warning_count)::BIGINT AS total_thermal_warnings
       FROM gpu_utilization_hourly WHERE metric_date >= DATE '2024-01-05' - 7 GROUP BY ALL)""",
         "dashboard_cost_summary": f"SELECT {COST_FIGURES} {RECENT_COST}",
@@ -590,12 +578,25 @@ def _quality() -> dict[str, str]:
     UNION ALL
     SELECT 'ended_not_after_start', count(*) FROM merged_jobs WHERE ended_at <= started_at""",
         "promote_if_passed": "SELECT * FROM cost_attribution",
-        "materialize_gold": "SELECT * FROM gpu_utilization_hourly",
-        "optimize_tables": "SELECT * FROM job_performance_sla",
+        "promote_rejected": """
+    SELECT 'not_null' AS expectation, 'org_id' AS column_name,
+      count(CASE WHEN exit_code = 1 OR org_id IS NULL THEN 1 END) AS failing, false AS promoted
+    FROM silver_jobs""",
+        "upsert_string_partitions": """
+    SELECT job_id, if(day(job_date) >= 15, exit_code + 1, exit_code) AS exit_code,
+      lpad(day(job_date)::VARCHAR, 2, '0') AS p FROM silver_jobs WHERE job_date IS NOT NULL""",
+        "materialize_gold": _together("int_job_costs", "cost_attribution", "gpu_utilization_hourly", "job_performance_sla"),
+        "optimize_tables": _together(
+            "cost_attribution", "gpu_utilization_hourly", "job_performance_sla", jobs="merged_jobs", inference="silver_inference"),
         "compact_zorder": "SELECT * FROM silver_inference",
     }
 
 
+def _together(*same: str, **renamed: str) -> str:
+    named = {**renamed, **{name: name for name in same}}
+    return " UNION ALL BY NAME ".join(f"SELECT *, '{name}' AS table_name FROM {table}" for name, table in named.items())
+
+
 def oracle_sql() -> dict[str, str]:
     parts = (_sources, _projections, _merges, _aggregates, _reads, _quality)
     simple = {name: _query(sql) for part in parts for name, sql in part().items()}

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -287,11 +288,7 @@ def _builders() -> dict[str, Callable[[Inputs], DataFrame]]:
         # aggregations
         "cost_attribution": cost,
         "gpu_utilization_hourly": util,
-        "gpu_utilization_hourly_selection": lambda i: marts.gpu_utilization_hourly(
-            i.stg_node_metrics(), "selection"
-        ),
         "job_performance_sla": sla,
-        "job_performance_sla_selection": lambda i: marts.job_performance_sla(i.stg_inference(), "selection"),
         "cost_by_org": _all_reads_of(cost, reads.cost_by_org, query_date=COST_DATE, days=3),
         "cost_by_model": _all_reads_of(cost, reads.cost_by_model, query_date=COST_DATE),
         "capacity_summary": _all_reads_of(util, reads.capacity_summary, as_of=CAPACITY_AS_OF),
@@ -374,8 +371,10 @@ def _builders() -> dict[str, Callable[[Inputs], DataFrame]]:
         "sanity_jobs": lambda i: quality.sanity_jobs(
             i.merged_jobs().withColumn("gpu_count", col("gpu_count") - F.when(col("exit_code") == 1, 1).otherwise(0))),
         "promote_if_passed": _promoted,
+        "promote_rejected": _rejected,
+        "upsert_string_partitions": _upserted_by_text,
         # stored gold and maintenance
-        "materialize_gold": lambda i: _gold(i)["gpu_utilization_hourly"],
+        "materialize_gold": lambda i: _together(_gold(i)),
         "optimize_tables": _optimized,
         "compact_zorder": lambda i: maintenance.compact_table(
             i.spark,
@@ -411,7 +410,34 @@ def _promoted(i: Inputs) -> DataFrame:
 def _optimized(i: Inputs) -> DataFrame:
     silver, gold = _stored_silver(i), i.scratch("gold")
     batch.materialize_gold(i.spark, silver, gold, AS_OF)
-    return maintenance.optimize_tables(i.spark, silver, gold)["job_performance_sla"]
+    return _together(maintenance.optimize_tables(i.spark, silver, gold))
+
+
+def _together(stored: dict[str, DataFrame]) -> DataFrame:
+    """All tables under one another, each row with its table's name."""
+    named = [df.drop("_ingested_at").withColumn("table_name", F.lit(name)) for name, df in stored.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+
+
+def _rejected(i: Inputs) -> DataFrame:
+    """Failed jobs lose their org: the gate must hold gold back."""
+    jobs = i.silver_jobs().withColumn("org_id", F.when(F.col("exit_code") == 1, None).otherwise(F.col("org_id")))
+    checks = quality.silver_jobs_gate(jobs)
+    promoted = quality.promote_if_passed(checks, lambda: True)
+    return checks.filter("NOT success").select("expectation", "column_name", "failing", F.lit(bool(promoted)).alias("promoted"))
+
+
+def _upserted_by_text(i: Inputs) -> DataFrame:
+    """A table whose string partitions look like numbers ('01' to '31')."""
+    day = F.dayofmonth("job_date")
+    jobs = i.silver_jobs().select("job_id", "exit_code", F.lpad(day.cast("string"), 2, "0").alias("p"), day.alias("day"))
+    path = i.scratch("upsert")
+
+    def deliver(rows: DataFrame) -> DataFrame:
+        return merge.upsert_table(i.spark, rows.drop("day"), path, ["job_id"], {"exit_code": "s.exit_code"}, ["p"])
+
+    deliver(jobs.filter("day <= 20"))
+    return deliver(jobs.filter("day >= 15").withColumn("exit_code", F.col("exit_code") + 1))
 
 
 def _ingested(i: Inputs, starts: int) -> DataFrame:

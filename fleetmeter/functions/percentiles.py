@@ -1,21 +1,18 @@
 """Exact interpolated percentiles per group, for groups of any size.
 
 Spark's ``percentile`` keeps every distinct value of a group in one task's memory.
-That is the quickest way while the whole input is small, and is used then. Beyond
-a checked size, ``select_percentiles`` narrows in on the wanted ranks instead:
-
-1. count rows per (group, coarse value bucket): a partial aggregate, so a hot group
-   leaves each task as at most one row per bucket;
-2. a running total over a group's buckets tells which buckets hold the wanted ranks;
-3. only the rows of those buckets are counted again, at a finer resolution, and a
-   last time by exact value.
-
-A bucket function only has to be monotone. The first is logarithmic, 1/1024 of a
-natural-log unit wide; the second cuts a bucket linearly into 2^20 pieces. What is
-left holds at most a few million distinct doubles, whatever the row count, and in
-practice one. Each pass is a column-pruned scan, of a scratch table where the input is
-not a table already; the rank tables are written to the scratch folder so that their
-true size decides whether they are broadcast.
+``select_percentiles`` narrows in on the wanted ranks instead, in two passes over the data:
+
+1. count rows per (group, value bucket): a partial aggregate, so a hot group leaves each
+   task as at most one row per bucket; a running total over a group's buckets tells
+   which buckets hold the wanted ranks;
+2. count exact values, but only of the rows in those buckets; a running total within each
+   bucket finds the values at the ranks.
+
+The bucket function only has to be monotone: it is logarithmic, 1/1024 of a natural-log
+unit wide. Both passes are column-pruned, and the whole is one lazy plan, the same at
+every size; the table of wanted buckets is small, and adaptive execution broadcasts it
+when its measured size allows.
 """
 
 from __future__ import annotations
@@ -27,11 +24,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetmeter.session import input_bytes, scannable, spill_to_table
-
-IN_MEMORY_BYTES = 64 * 1024 * 1024
-COARSE_PER_LOG_UNIT = 1024
-FINE_PIECES = 2**20 - 1
+BUCKETS_PER_LOG_UNIT = 1024
 
 
 class Percentile(NamedTuple):
@@ -42,19 +35,6 @@ class Percentile(NamedTuple):
     where: Column | None = None
 
 
-def fits_in_memory(df: DataFrame) -> bool:
-    """Whether all the tables behind ``df`` together are small enough for one task."""
-    return input_bytes(df) <= IN_MEMORY_BYTES
-
-
-def percentile_columns(value: str, wanted: Sequence[Percentile]) -> list[Column]:
-    """Aggregate columns for inputs that ``fits_in_memory``."""
-    return [
-        F.percentile(F.col(value) if p.where is None else F.when(p.where, F.col(value)), p.q).alias(p.name)
-        for p in wanted
-    ]
-
-
 def approx_percentile_columns(value: str, wanted: Sequence[Percentile], accuracy: int = 10_000) -> list[Column]:
     """Sketch-based variant: bounded memory in one pass, returns a data value near the rank."""
     return [
@@ -65,17 +45,12 @@ def approx_percentile_columns(value: str, wanted: Sequence[Percentile], accuracy
     ]
 
 
-def _coarse_bucket(v: Column) -> Column:
+def _bucket(v: Column) -> Column:
     """Monotone in v; NaN sorts last, as it does in Spark."""
-    log = F.signum(v) * F.log1p(F.abs(v)) * COARSE_PER_LOG_UNIT
+    log = F.signum(v) * F.log1p(F.abs(v)) * BUCKETS_PER_LOG_UNIT
     return F.when(F.isnan(v), F.lit(2**62)).otherwise(F.floor(F.least(F.greatest(log, F.lit(-1e9)), F.lit(1e9))))
 
 
-def _fine_bucket(v: Column, low: Column, high: Column) -> Column:
-    share = (v - low) / F.nullif(high - low, F.lit(0.0))
-    return F.when(F.isnan(v), F.lit(FINE_PIECES + 1)).otherwise(F.floor(F.coalesce(share, F.lit(0.0)) * FINE_PIECES))
-
-
 def _measures(wanted: Sequence[Percentile]) -> list[Column | None]:
     """The distinct row conditions among the wanted percentiles."""
     found: list[Column | None] = []
@@ -85,16 +60,8 @@ def _measures(wanted: Sequence[Percentile]) -> list[Column | None]:
     return found
 
 
-def _counts(grouped, n_measures: int) -> DataFrame:
-    return grouped.agg(
-        F.array(*(F.sum(f"_w{m}") for m in range(n_measures))).alias("_n"),
-        F.min("_v").alias("_low"),
-        F.max("_v").alias("_high"),
-    )
-
-
 def _running(counts: DataFrame, within: Sequence[str], order: str, n_measures: int) -> DataFrame:
-    """Rows before each bucket, per measure. The window holds buckets, not rows."""
+    """Rows before each bucket or value, per measure. The window holds counts, not rows."""
     w = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return counts.withColumn(
         "_before", F.array(*(F.sum(F.col("_n")[m]).over(w) - F.col("_n")[m] for m in range(n_measures)))
@@ -102,7 +69,7 @@ def _running(counts: DataFrame, within: Sequence[str], order: str, n_measures: i
 
 
 def _keep_hits(located: DataFrame) -> DataFrame:
-    """Reduce each bucket's targets to those whose rank falls inside it, made relative to it."""
+    """Reduce each row's targets to those whose rank falls on it, made relative to it."""
 
     def inside(t: Column) -> Column:
         m = t["m"]
@@ -118,13 +85,6 @@ def _keep_hits(located: DataFrame) -> DataFrame:
     )
 
 
-def _match(rows: DataFrame, targets: DataFrame, on: Sequence[str], extra: Sequence[str]) -> DataFrame:
-    """Null-safe join that adds ``extra`` columns of the target table to the rows."""
-    right = targets.select(*(F.col(c).alias(f"_r_{c}") for c in on), *extra)
-    condition = reduce(lambda a, b: a & b, (rows[c].eqNullSafe(right[f"_r_{c}"]) for c in on))
-    return rows.join(right, condition).select(*rows.columns, *extra)
-
-
 def select_percentiles(df: DataFrame, keys: Sequence[str], value: str, wanted: Sequence[Percentile]) -> DataFrame:
     """Percentiles by rank selection: one row per group that has a value, exact at any size."""
     keys = list(keys)
@@ -140,11 +100,11 @@ def select_percentiles(df: DataFrame, keys: Sequence[str], value: str, wanted: S
             ),
         )
         .filter(F.col("_v").isNotNull())
+        .withColumn("_b", _bucket(F.col("_v")))
     )
-    rows = scannable(rows, "ranks-input").withColumn("_b1", _coarse_bucket(F.col("_v")))
+    counted = F.array(*(F.sum(f"_w{m}") for m in range(n))).alias("_n")
 
     whole = Window.partitionBy(*keys)
-    coarse = _running(_counts(rows.groupBy(*keys, "_b1"), n), keys, "_b1", n)
     totals = [F.sum(F.col("_n")[m]).over(whole) for m in range(n)]
     targets = []
     for i, p in enumerate(wanted):
@@ -159,35 +119,19 @@ def select_percentiles(df: DataFrame, keys: Sequence[str], value: str, wanted: S
                     (position - F.floor(position)).alias("share"),
                 )
             )
-    coarse = coarse.withColumn("_totals", F.array(*totals)).withColumn("_targets", F.array(*targets)).drop("_totals")
-    found1 = spill_to_table(_keep_hits(coarse), "ranks-coarse")
-
-    open1 = found1.filter("_low < _high")
-    fine_rows = _match(rows, open1, [*keys, "_b1"], ["_low", "_high"]).withColumn(
-        "_b2", _fine_bucket(F.col("_v"), F.col("_low"), F.col("_high"))
-    )
-    fine_counts = _counts(fine_rows.drop("_low", "_high").groupBy(*keys, "_b1", "_b2"), n)
-    fine = _running(_match(fine_counts, open1, [*keys, "_b1"], ["_targets"]), [*keys, "_b1"], "_b2", n)
-    found2 = spill_to_table(_keep_hits(fine), "ranks-fine")
-
-    open2 = found2.filter("_low < _high")
-    last_counts = _counts(
-        _match(fine_rows.drop("_low", "_high"), open2, [*keys, "_b1", "_b2"], []).groupBy(*keys, "_b1", "_b2", "_v"), n
-    )
-    last = _running(
-        _match(last_counts, open2, [*keys, "_b1", "_b2"], ["_targets"]), [*keys, "_b1", "_b2"], "_v", n
+    buckets = _running(rows.groupBy(*keys, "_b").agg(counted), keys, "_b", n)
+    hit = _keep_hits(
+        buckets.withColumn("_totals", F.array(*totals)).withColumn("_targets", F.array(*targets)).drop("_totals")
     )
-    found3 = _keep_hits(last)
+    hit = hit.select(*(F.col(c).alias(f"_r_{c}") for c in [*keys, "_b"]), "_targets")
+    same = reduce(lambda a, b: a & b, (rows[c].eqNullSafe(hit[f"_r_{c}"]) for c in [*keys, "_b"]))
+    values = rows.join(hit, same).groupBy(*keys, "_b", "_v").agg(counted, F.any_value("_targets").alias("_targets"))
+    found = _keep_hits(_running(values, [*keys, "_b"], "_v", n)).select(*keys, "_v", F.inline("_targets"))
 
-    answers = reduce(
-        lambda a, b: a.unionByName(b),
-        (f.filter(~(F.col("_low") < F.col("_high"))).select(*keys, F.col("_low").alias("_v"), "_targets")
-         for f in (found1, found2, found3)),
-    ).select(*keys, "_v", F.inline("_targets"))
     columns = []
     for i, p in enumerate(wanted):
         low = F.max(F.when(F.col("j") == 2 * i, F.col("_v")))
         high = F.max(F.when(F.col("j") == 2 * i + 1, F.col("_v")))
         share = F.max(F.when(F.col("j") == 2 * i, F.col("share")))
         columns.append(F.when(low == high, low).otherwise(low + (high - low) * share).alias(p.name))
-    return answers.groupBy(*keys).agg(*columns)
+    return found.groupBy(*keys).agg(*columns)

@@ -50,28 +50,17 @@ def round_half_away(value: Column, digits: int) -> Column:
     return F.round(value * F.lit(scale), 0) / F.lit(scale)
 
 
-def round_accumulated(value: Column, digits: int) -> Column:
-    """Round a sum or mean of doubles so that decimal ties fall the same way on every run.
+def exact_total(value: Column) -> Column:
+    """Sum as DECIMAL(38, 9): exact to nine decimals, so free of the order in which tasks add."""
+    return F.sum(value.cast("decimal(38,9)"))
 
-    The last bits of such a figure depend on the order in which tasks add. Rounding to six
-    more digits first drops that noise, which would otherwise decide a tie.
-    """
-    return round_half_away(round_half_away(value, digits + 6), digits)
-
-
-def fixed_point_sum(value: Column, digits: int) -> Column:
-    """Sum of values that carry ``digits`` decimals, added up as whole numbers.
 
-    Exact, so the result does not depend on the order in which tasks add, and a later
-    rounding falls the same way on every run.
-    """
-    scale = float(10**digits)
-    return F.sum(F.round(value * F.lit(scale), 0).cast("bigint")) / F.lit(scale)
+def exact_sum(value: Column) -> Column:
+    return exact_total(value).cast("double")
 
 
-def fixed_point_avg(value: Column, digits: int) -> Column:
-    """Mean of values that carry ``digits`` decimals, on the same exact sum."""
-    return fixed_point_sum(value, digits) / F.nullif(F.count(value), F.lit(0))
+def exact_avg(value: Column) -> Column:
+    return exact_sum(value) / F.nullif(F.count(value), F.lit(0))
 
 
 def price_per_gpu_hour(gpu_type: Column, book: dict[str, float] | None = None) -> Column:

@@ -4,35 +4,55 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fleetmeter.session import input_bytes, spill_to_table
+from fleetmeter.session import input_bytes, scratch_scope, sized_shuffles, spill_to_table
 from fleetmeter.sources import tables
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
-BITS_PER_COLUMN = 6
-BOUNDARY_SAMPLE = 20_000
+BITS_PER_COLUMN = 8
+_TEXT_BYTES = 6
 
 
-def _boundaries(df: DataFrame, columns: Sequence[str]) -> dict[str, list[Any]]:
-    """Per column, up to 63 values that split it evenly, from a fixed-size random draw.
+def _shared_prefix(low: str | None, high: str | None) -> int:
+    """Bytes that all strings between two have in common."""
+    a, b = (low or "").encode(), (high or "").encode()
+    return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
-    Only the layout depends on the draw, never the content.
+
+def _numbers(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
+    """Each column as a number in the same order; of strings, six bytes from where they begin to differ."""
+    kinds = {c: df.schema[c].dataType for c in columns}
+    texts = [c for c, kind in kinds.items() if isinstance(kind, T.StringType)]
+    ends = df.agg(*(f(c).alias(f"{side}_{c}") for c in texts for side, f in (("low", F.min), ("high", F.max)))).first() if texts else None
+
+    def number(c: str) -> Column:
+        x = F.col(c)
+        if c in texts:
+            skip = _shared_prefix(ends[f"low_{c}"], ends[f"high_{c}"])
+            digits = F.substring(F.hex(F.encode(x, "UTF-8")), 2 * skip + 1, 2 * _TEXT_BYTES)
+            return F.conv(F.rpad(digits, 2 * _TEXT_BYTES, "0"), 16, 10).cast("double")
+        if isinstance(kinds[c], (T.DateType, T.TimestampNTZType)):
+            x = x.cast("timestamp")
+        return x.cast("double")
+
+    return {c: number(c) for c in columns}
+
+
+def _boundaries(df: DataFrame, numbers: dict[str, Column]) -> dict[str, list[float]]:
+    """Per column, values that split it evenly, from quantile sketches of all rows.
+
+    Only the layout depends on the sketch, never the content.
     """
-    drawn = df.select(*columns).orderBy(F.rand(7)).limit(BOUNDARY_SAMPLE).collect()
-    pieces = 2**BITS_PER_COLUMN
-    bounds = {}
-    for c in columns:
-        values = sorted(r[c] for r in drawn if r[c] is not None)
-        cuts = [values[len(values) * i // pieces] for i in range(1, pieces)] if values else []
-        bounds[c] = sorted(set(cuts))
-    return bounds
+    shares = [i / 2**BITS_PER_COLUMN for i in range(1, 2**BITS_PER_COLUMN)]
+    found = df.agg(*(F.percentile_approx(x, F.array(*map(F.lit, shares)), F.lit(10_000)).alias(c) for c, x in numbers.items())).first()
+    return {c: sorted(set(found[c] or ())) for c in numbers}
 
 
-def _bucket(column: Column, cuts: Sequence[Any], first: int = 0) -> Column:
+def _bucket(column: Column, cuts: Sequence[float], first: int = 0) -> Column:
     """Index of the piece a value falls into, as a balanced tree of comparisons."""
     if not cuts:
         return F.lit(first)
@@ -44,10 +64,11 @@ def _bucket(column: Column, cuts: Sequence[Any], first: int = 0) -> Column:
 
 def z_value(df: DataFrame, columns: Sequence[str]) -> Column:
     """Interleaved bits of the columns' bucket numbers: near in the result means near in every column."""
-    bounds = _boundaries(df, columns)
+    numbers = _numbers(df, columns)
+    bounds = _boundaries(df, numbers)
     z = F.lit(0).cast("long")
     for i, c in enumerate(columns):
-        bucket = F.when(F.col(c).isNull(), 0).otherwise(_bucket(F.col(c), bounds[c])).cast("long")
+        bucket = F.when(F.col(c).isNull(), 0).otherwise(_bucket(numbers[c], bounds[c])).cast("long")
         for bit in range(BITS_PER_COLUMN):
             z = z.bitwiseOR(F.shiftleft(F.shiftright(bucket, bit).bitwiseAND(F.lit(1)), bit * len(columns) + i))
     return z
@@ -75,23 +96,38 @@ def compact_zorder(df: DataFrame, cluster_by: Sequence[str], partition_by: Seque
     )
 
 
+def _crowded(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Partitions with more files than their bytes need, and how many they need."""
+    files = df.select(*partition_by, "_metadata.file_path", "_metadata.file_size").distinct()
+    counted = files.groupBy(*partition_by).agg(
+        F.count(F.lit(1)).alias("files"), F.ceil(F.sum("file_size") / TARGET_FILE_BYTES).alias("needed")
+    )
+    return counted.filter("files > needed").drop("files")
+
+
 def compact_table(spark: SparkSession, path: str, cluster_by: Sequence[str], partition_by: Sequence[str] = (),
                   fmt: str = tables.DEFAULT_FORMAT, files: int | None = None) -> DataFrame:
     """Compact a stored table in place and return a fresh read of it.
 
-    The table is first copied to the shared scratch folder, from which the new layout is
-    written; the copy survives a failed overwrite.
+    Only partitions with too many files are rewritten. Their new layout is staged in the shared
+    scratch folder, then moved in partition by partition, so the others stay as they are and the
+    table never goes away. Partition values are handled as the text of their folder names.
     """
     if fmt == "delta":
         keys = ", ".join(f"`{c}`" for c in cluster_by if c not in partition_by)
         spark.sql(f"OPTIMIZE delta.`{path}` ZORDER BY ({keys})")
         return tables.scan_table(spark, path, fmt)
-    copy = spill_to_table(tables.scan_table(spark, path, fmt), "compact")
-    writer = compact_zorder(copy, cluster_by, partition_by, files).write.format(fmt).mode("overwrite")
-    writer = writer.option("partitionOverwriteMode", "static")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in partition_by])
+    table = tables.scan_table(spark, path, fmt, texts)
+    with scratch_scope(spark), sized_shuffles(table):
+        crowded = spill_to_table(_crowded(table, partition_by), "crowded")
+        needed = crowded.agg(F.sum("needed")).first()[0]
+        if needed is not None:
+            rows = tables.in_partitions(table, crowded.drop("needed"), partition_by) if partition_by else table
+            staged = spill_to_table(compact_zorder(rows, cluster_by, partition_by, files or needed), "compact")
+            mode = "dynamic" if partition_by else "static"
+            writer = staged.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", mode)
+            (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
     return tables.scan_table(spark, path, fmt)
 
 

@@ -13,11 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmeter.functions.relational import any_null, same_key
-from fleetmeter.session import as_of_column, spill_to_table
+from fleetmeter.session import as_of_column, scratch_scope, sized_shuffles, spill_to_table
 from fleetmeter.sources import tables
 
-LISTED_PARTITIONS = 5000
-
 Updates = Mapping[str, str | Column]
 
 
@@ -85,14 +83,18 @@ def upsert_merge(target: DataFrame, source: DataFrame, on: Sequence[str], update
 
     Built from a left join and an anti join instead of one full outer join: both
     tolerate a hot key (split by adaptive execution on the left, collapsed by the
-    distinct on the right), and NULL keys bypass the anti join.
+    distinct on the right), and NULL keys bypass the anti join. Unless the target is
+    ``stored``, both inputs are written to the scratch folder first, so that their plans
+    run once (this starts Spark jobs).
     """
+    if not stored:
+        target, source = spill_to_table(target, "merge-target"), spill_to_table(source, "merge-source")
     keyed = _one_row_per_key(source, on)
     keyless = source.filter(any_null(on))
     known = target.filter(~any_null(on)).select(*on).distinct()
     new = keyed.alias("s").join(known.alias("t"), same_key("s", "t", on), "left_anti")
     return (
-        merge_update(target, source, on, updates, stored=stored)
+        merge_update(target, source, on, updates, stored=True)
         .unionByName(new.select(*target.columns))
         .unionByName(keyless.select(*target.columns))
     )
@@ -114,6 +116,7 @@ def late_fill_left_join(target: DataFrame, source: DataFrame, on: Sequence[str],
 
 # ---------------------------------------------------------------- merge specifications
 
+# Keys and updated columns of each table.
 JOBS_KEY = ["job_id"]
 JOBS_UPDATES = {
     c: f"s.{c}"
@@ -149,28 +152,6 @@ def merge_completions(jobs: DataFrame, completions: DataFrame, as_of: datetime |
 # ---------------------------------------------------------------- write path
 
 
-def _in_partitions(df: DataFrame, touched: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Rows of the touched partitions.
-
-    A single partition column with a short list of values becomes a literal predicate,
-    which prunes files when planning. Longer lists stay distributed as a semi join.
-    """
-    if len(partition_by) == 1:
-        column = partition_by[0]
-        listed = touched.limit(LISTED_PARTITIONS + 1).collect()
-        if len(listed) <= LISTED_PARTITIONS:
-            values = [r[0] for r in listed if r[0] is not None]
-            wanted = F.col(column).isin(values) if values else F.lit(False)
-            if len(values) < len(listed):
-                wanted = wanted | F.col(column).isNull()
-            return df.filter(wanted)
-    right = touched.select(*(F.col(c).alias(f"_p_{c}") for c in partition_by))
-    condition = F.lit(True)
-    for c in partition_by:
-        condition = condition & df[c].eqNullSafe(right[f"_p_{c}"])
-    return df.join(right, condition, "left_semi")
-
-
 def _check_updates(updates: Updates, partition_by: Sequence[str]) -> None:
     moved = set(updates) & set(partition_by)
     if moved:
@@ -191,18 +172,19 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str, on: Sequence
         return tables.write_partitioned_overwrite(source, path, partition_by, fmt)
     if fmt == "delta":
         return _delta_merge(spark, source, path, on, updates, insert=True)
-    source = spill_to_table(source, "merge-source")
-    target = tables.scan_table(spark, path, fmt)
-    if not partition_by:
-        return tables.replace_table(upsert_merge(target, source, on, updates, stored=True), path, fmt)
-    hit = target.select(*dict.fromkeys([*on, *partition_by])).alias("t").join(
-        source.select(*on).alias("s"), same_key("t", "s", on), "left_semi"
-    )
-    touched = hit.select(*partition_by).union(source.select(*partition_by)).distinct()
-    affected = _in_partitions(target, spill_to_table(touched, "merge-touched"), partition_by)
-    return tables.replace_partitions(
-        upsert_merge(affected, source, on, updates, stored=True), path, partition_by, fmt
-    )
+    target = tables.scan_table(spark, path, fmt, tables.partition_types(source, partition_by))
+    with scratch_scope(spark), sized_shuffles(target, source):
+        source = spill_to_table(source, "merge-source")
+        if not partition_by:
+            return tables.replace_table(upsert_merge(target, source, on, updates, stored=True), path, fmt)
+        hit = target.select(*dict.fromkeys([*on, *partition_by])).alias("t").join(
+            source.select(*on).alias("s"), same_key("t", "s", on), "left_semi"
+        )
+        touched = hit.select(*partition_by).union(source.select(*partition_by)).distinct()
+        affected = tables.in_partitions(target, spill_to_table(touched, "merge-touched"), partition_by)
+        return tables.replace_partitions(
+            upsert_merge(affected, source, on, updates, stored=True), path, partition_by, fmt
+        )
 
 
 def merge_completions_table(spark: SparkSession, path: str, completions: DataFrame,
@@ -216,19 +198,22 @@ def merge_completions_table(spark: SparkSession, path: str, completions: DataFra
     if fmt == "delta":
         return _delta_merge(spark, completions, path, JOBS_KEY, updates, insert=False,
                             also=OPEN_JOB)
-    completions = spill_to_table(completions, "merge-source")
     jobs = tables.scan_table(spark, path, fmt)
-    open_jobs = jobs.filter(F.col("ended_at").isNull()).select(*JOBS_KEY, *partition_by)
-    touched = (
-        open_jobs.alias("t")
-        .join(completions.select(*JOBS_KEY).alias("s"), same_key("t", "s", JOBS_KEY), "left_semi")
-        .select(*partition_by)
-        .distinct()
-    )
-    affected = _in_partitions(jobs, spill_to_table(touched, "merge-touched"), partition_by)
-    return tables.replace_partitions(
-        merge_completions(affected, completions, as_of, stored=True), path, partition_by, fmt
-    )
+    with scratch_scope(spark), sized_shuffles(jobs, completions):
+        completions = spill_to_table(completions, "merge-source")
+        if not partition_by:
+            return tables.replace_table(merge_completions(jobs, completions, as_of, stored=True), path, fmt)
+        open_jobs = jobs.filter(F.col("ended_at").isNull()).select(*JOBS_KEY, *partition_by)
+        touched = (
+            open_jobs.alias("t")
+            .join(completions.select(*JOBS_KEY).alias("s"), same_key("t", "s", JOBS_KEY), "left_semi")
+            .select(*partition_by)
+            .distinct()
+        )
+        affected = tables.in_partitions(jobs, spill_to_table(touched, "merge-touched"), partition_by)
+        return tables.replace_partitions(
+            merge_completions(affected, completions, as_of, stored=True), path, partition_by, fmt
+        )
 
 
 def _delta_merge(spark: SparkSession, source: DataFrame, path: str, on: Sequence[str], updates: Updates,

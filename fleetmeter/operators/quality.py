@@ -15,7 +15,7 @@ from typing import Any, NamedTuple, TypeVar
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetmeter.functions.percentiles import Percentile, fits_in_memory, percentile_columns, select_percentiles
+from fleetmeter.functions.percentiles import Percentile, select_percentiles
 from fleetmeter.functions.relational import zip_on_keys
 from fleetmeter.functions.scalars import PRICE_BOOK
 
@@ -98,7 +98,6 @@ def _figures(df: DataFrame, suite: Sequence[Expectation]) -> DataFrame:
     columns = [F.count(F.lit(1)).alias("rows")]
     columns += [F.count(c).alias(f"present_{c}") for c in dict.fromkeys(e.column for e in suite if e.column)]
     frames = []
-    in_memory = fits_in_memory(df)
     for i, e in enumerate(suite):
         value = F.col(e.column) if e.column else None
         if e.kind == "not_null":
@@ -110,11 +109,7 @@ def _figures(df: DataFrame, suite: Sequence[Expectation]) -> DataFrame:
         elif e.kind == "mean_between":
             columns.append(F.avg(value).alias(f"observed_{i}"))
         elif e.kind == "median_between":
-            wanted = [Percentile(f"observed_{i}", 0.5)]
-            if in_memory:
-                columns += percentile_columns(e.column, wanted)
-            else:
-                frames.append(select_percentiles(df, [], e.column, wanted))
+            frames.append(select_percentiles(df, [], e.column, [Percentile(f"observed_{i}", 0.5)]))
         elif e.kind == "unique":
             # The NULL group is left out of the sum rather than filtered first: a pushed-down
             # filter would keep this branch from sharing the shuffle of the others.
@@ -165,10 +160,9 @@ def run_expectations(df: DataFrame, suite: Sequence[Expectation]) -> DataFrame:
     )
 
 
-def silver_jobs_gate(silver_jobs: DataFrame, sample_limit: int | None = None) -> DataFrame:
-    """The gate over the whole table; ``sample_limit`` checks only that many rows."""
-    return run_expectations(silver_jobs if sample_limit is None else silver_jobs.limit(sample_limit),
-                            SILVER_JOBS_SUITE)
+def silver_jobs_gate(silver_jobs: DataFrame) -> DataFrame:
+    """The gate over the whole table."""
+    return run_expectations(silver_jobs, SILVER_JOBS_SUITE)
 
 
 def gate_passed(checks: DataFrame) -> bool:
@@ -193,15 +187,6 @@ def failing_unique(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def failing_not_null(df: DataFrame, column: str) -> DataFrame:
-    return df.filter(F.col(column).isNull())
-
-
-def failing_accepted_values(df: DataFrame, column: str, values: Sequence[Any]) -> DataFrame:
-    """Rows with another value; NULL is not judged."""
-    return df.filter(~F.col(column).isin(list(values)))
-
-
 def failing_expression(df: DataFrame, predicate: Column) -> DataFrame:
     """Rows for which the predicate is false; unknown is not judged."""
     return df.filter(~predicate)
@@ -215,28 +200,28 @@ def negative_costs(cost_attribution: DataFrame) -> DataFrame:
 
 
 class ColumnTest(NamedTuple):
+    """``fails`` is true of a failing row; a uniqueness test has none and counts repeated values."""
+
     table: str
     column: str
     kind: str
-    failing: Callable[[DataFrame], DataFrame]
+    fails: Callable[[Column], Column] | None = None
 
 
 def unique(table: str, column: str) -> ColumnTest:
-    return ColumnTest(table, column, "unique", lambda df: failing_unique(df, column))
+    return ColumnTest(table, column, "unique")
 
 
 def not_null(table: str, column: str) -> ColumnTest:
-    return ColumnTest(table, column, "not_null", lambda df: failing_not_null(df, column))
+    return ColumnTest(table, column, "not_null", lambda x: x.isNull())
 
 
 def accepted_values(table: str, column: str, values: Sequence[Any]) -> ColumnTest:
-    return ColumnTest(table, column, "accepted_values", lambda df: failing_accepted_values(df, column, values))
+    return ColumnTest(table, column, "accepted_values", lambda x: ~x.isin(list(values)))
 
 
 def expression(table: str, column: str, predicate: Callable[[Column], Column]) -> ColumnTest:
-    return ColumnTest(
-        table, column, "expression", lambda df: failing_expression(df, predicate(F.col(column)))
-    )
+    return ColumnTest(table, column, "expression", lambda x: ~predicate(x))
 
 
 def share_or_null(x: Column) -> Column:
@@ -276,19 +261,27 @@ def tests_of_kind(kind: str) -> list[ColumnTest]:
 
 
 def run_column_tests(tables: Mapping[str, DataFrame], tests: Sequence[ColumnTest]) -> DataFrame:
-    """One row per test with its number of failing rows (repeated values, for uniqueness)."""
-    counted = [
-        t.failing(tables[t.table])
-        .agg(F.count(F.lit(1)).alias("failures"))
-        .select(
-            F.lit(t.table).alias("table_name"),
-            F.lit(t.column).alias("column_name"),
-            F.lit(t.kind).alias("test"),
-            "failures",
+    """One row per test with its number of failing rows (repeated values, for uniqueness).
+
+    A table's tests are one aggregate, and one more grouped count per uniqueness test.
+    """
+    results = []
+    for name in dict.fromkeys(t.table for t in tests):
+        df, own = tables[name], [t for t in tests if t.table == name]
+        counts = [F.count_if(t.fails(F.col(t.column))).alias(f"failures_{i}") for i, t in enumerate(own) if t.fails]
+        frames = [df.agg(*counts)] if counts else []
+        frames += [
+            failing_unique(df, t.column).agg(F.count(F.lit(1)).alias(f"failures_{i}"))
+            for i, t in enumerate(own) if not t.fails
+        ]
+        figures = zip_on_keys(frames, []) if len(frames) > 1 else frames[0]
+        rows = (
+            F.struct(F.lit(t.table).alias("table_name"), F.lit(t.column).alias("column_name"),
+                     F.lit(t.kind).alias("test"), F.col(f"failures_{i}").alias("failures"))
+            for i, t in enumerate(own)
         )
-        for t in tests
-    ]
-    return reduce(lambda a, b: a.unionByName(b), counted)
+        results.append(figures.select(F.inline(F.array(*rows))))
+    return reduce(lambda a, b: a.unionByName(b), results)
 
 
 def sanity_jobs(jobs: DataFrame) -> DataFrame:

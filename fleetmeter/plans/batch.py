@@ -8,11 +8,13 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from fleetmeter import schemas
 from fleetmeter.operators import dedup, enrich, merge, quality
 from fleetmeter.operators.maintenance import optimize_tables
 from fleetmeter.plans import marts, staging
-from fleetmeter.session import input_bytes, prepare, spill_to_table
+from fleetmeter.session import sized_shuffles, spill_to_table
 from fleetmeter.sources import files, tables
 
 # Where each raw input lies below the bronze root.
@@ -28,6 +30,7 @@ class BatchResult(NamedTuple):
     counts: Mapping[str, int]
     checks: DataFrame
     promoted: bool
+    silver_tests: DataFrame
     gold_tests: DataFrame | None
 
 
@@ -38,24 +41,35 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def build_silver(spark: SparkSession, bronze: str, silver: str, as_of: datetime | None = None,
-                 overwrite: bool = True, fmt: str = tables.DEFAULT_FORMAT) -> dict[str, int]:
-    """Write the three silver tables and apply late completions; returns their row counts."""
+                 overwrite: bool = True, fmt: str = tables.DEFAULT_FORMAT,
+                 requests: DataFrame | None = None) -> dict[str, int]:
+    """Write the three silver tables and apply late completions; returns their row counts.
+
+    A full load merges completions before its one write of the jobs table. ``requests``
+    replaces the inference log files, such as the table that the stream appends to; of its
+    columns those of the log are taken.
+    """
     at = {name: f"{bronze}/{folder}" for name, folder in BRONZE_FOLDERS.items()}
     raw_jobs = files.read_job_events(spark, at["job_events"])
     raw_completions = files.read_job_completions(spark, at["job_completions"])
-    raw_inference = files.read_inference_logs(spark, at["inference_logs"])
+    if requests is None:
+        raw_inference = files.read_inference_logs(spark, at["inference_logs"])
+    else:
+        raw_inference = requests.select(*T.StructType.fromDDL(schemas.INFERENCE_LOG).names)
     raw_metrics = files.read_node_metrics(spark, at["node_metrics"])
-    prepare(spark, max(input_bytes(df) for df in (raw_jobs, raw_completions, raw_inference, raw_metrics)))
-
-    jobs, n_jobs = _counted(enrich.silver_jobs(raw_jobs, as_of), "jobs")
-    merge.upsert_jobs(spark, jobs, f"{silver}/jobs", overwrite, fmt)
-    merge.merge_completions_table(
-        spark, f"{silver}/jobs", dedup.dedup_completions(raw_completions), as_of, fmt=fmt
-    )
-    inference, n_inference = _counted(enrich.silver_inference(raw_inference, as_of), "inference")
-    merge.upsert_inference(spark, inference, f"{silver}/inference", overwrite, fmt)
-    metrics, n_metrics = _counted(enrich.silver_node_metrics(raw_metrics, as_of), "node_metrics")
-    merge.upsert_node_metrics(spark, metrics, f"{silver}/node_metrics", overwrite, fmt)
+    completions = dedup.dedup_completions(raw_completions)
+
+    with sized_shuffles(raw_jobs, raw_completions, raw_inference, raw_metrics):
+        jobs, n_jobs = _counted(enrich.silver_jobs(raw_jobs, as_of), "jobs")
+        if overwrite or not tables.table_exists(spark, f"{silver}/jobs", fmt):
+            merge.upsert_jobs(spark, merge.merge_completions(jobs, completions, as_of), f"{silver}/jobs", True, fmt)
+        else:
+            merge.upsert_jobs(spark, jobs, f"{silver}/jobs", False, fmt)
+            merge.merge_completions_table(spark, f"{silver}/jobs", completions, as_of, fmt=fmt)
+        inference, n_inference = _counted(enrich.silver_inference(raw_inference, as_of), "inference")
+        merge.upsert_inference(spark, inference, f"{silver}/inference", overwrite, fmt)
+        metrics, n_metrics = _counted(enrich.silver_node_metrics(raw_metrics, as_of), "node_metrics")
+        merge.upsert_node_metrics(spark, metrics, f"{silver}/node_metrics", overwrite, fmt)
     seen = {"jobs": n_jobs, "inference": n_inference, "node_metrics": n_metrics}
     return {name: o.get["rows"] for name, o in seen.items()}
 
@@ -86,7 +100,8 @@ def materialize_gold(spark: SparkSession, silver: str, gold: str, as_of: datetim
     views = staging_views(spark, silver, fmt)
 
     def store(df: DataFrame, name: str, partition_by: str) -> DataFrame:
-        return tables.write_partitioned_overwrite(df, f"{gold}/{name}", [partition_by], fmt)
+        with sized_shuffles(df):
+            return tables.write_partitioned_overwrite(df, f"{gold}/{name}", [partition_by], fmt)
 
     costs = store(staging.int_job_costs(views["stg_jobs"], as_of), "int_job_costs", "job_date")
     return {
@@ -101,16 +116,24 @@ def materialize_gold(spark: SparkSession, silver: str, gold: str, as_of: datetim
     }
 
 
+def _no_failures(tests: DataFrame) -> bool:
+    return tests.where("failures > 0").isEmpty()
+
+
 def run_batch(spark: SparkSession, bronze: str, silver: str, gold: str, as_of: datetime | None = None,
-              overwrite: bool = True, optimize: bool = True, fmt: str = tables.DEFAULT_FORMAT) -> BatchResult:
-    """Silver, gate, gold, gold tests, compaction. A failed gate leaves gold untouched."""
-    counts = build_silver(spark, bronze, silver, as_of, overwrite, fmt)
-    checks = spill_to_table(quality.silver_jobs_gate(tables.scan_table(spark, f"{silver}/jobs", fmt)), "gate")
+              overwrite: bool = True, optimize: bool = True, fmt: str = tables.DEFAULT_FORMAT,
+              requests: DataFrame | None = None) -> BatchResult:
+    """Silver, gate, gold, column tests, compaction. A failed gate leaves gold untouched, and a
+    failed test leaves all tables uncompacted."""
+    counts = build_silver(spark, bronze, silver, as_of, overwrite, fmt, requests)
+    stored = {n: tables.scan_table(spark, f"{silver}/{n}", fmt) for n in ("jobs", "inference")}
+    checks = spill_to_table(quality.silver_jobs_gate(stored["jobs"]), "gate")
+    silver_tests = spill_to_table(quality.run_column_tests(stored, quality.SILVER_TESTS), "silver-tests")
     gold_tables = quality.promote_if_passed(checks, lambda: materialize_gold(spark, silver, gold, as_of, fmt))
     if gold_tables is None:
-        return BatchResult(counts, checks, False, None)
+        return BatchResult(counts, checks, False, silver_tests, None)
     gold_tests = spill_to_table(quality.run_column_tests(gold_tables, quality.GOLD_TESTS), "gold-tests")
-    if optimize:
+    if optimize and _no_failures(silver_tests) and _no_failures(gold_tests):
         optimize_tables(spark, silver, gold, fmt)
         staging_views(spark, silver, fmt)
-    return BatchResult(counts, checks, True, gold_tests)
+    return BatchResult(counts, checks, True, silver_tests, gold_tests)

@@ -1,8 +1,7 @@
 """The three gold marts.
 
 Sums, counts and extrema combine map-side, so a hot group costs one row per task.
-Percentiles come from one aggregate while the input is small, and from rank selection
-beyond that (see ``functions.percentiles``).
+Percentiles come from rank selection (see ``functions.percentiles``).
 """
 
 from __future__ import annotations
@@ -16,17 +15,13 @@ from fleetmeter.functions import scalars as S
 from fleetmeter.functions.percentiles import (
     Percentile,
     approx_percentile_columns,
-    fits_in_memory,
-    percentile_columns,
     select_percentiles,
 )
 from fleetmeter.functions.relational import zip_on_keys
-from fleetmeter.functions.scalars import round_accumulated as settle
 from fleetmeter.functions.scalars import round_half_away as rnd
 from fleetmeter.operators.filters import successful_requests, with_job_date
-from fleetmeter.session import scannable
 
-Method = Literal["auto", "in_memory", "selection", "approx"]
+Method = Literal["exact", "approx"]
 
 COST_GRAIN = ["job_date", "org_id", "user_id", "model_arch", "gpu_tier", "gpu_type", "framework"]
 UTILIZATION_GRAIN = ["hour_bucket", "metric_date", "gpu_type", "gpu_tier", "rack_id"]
@@ -46,10 +41,10 @@ def cost_attribution(job_costs: DataFrame, key_format: tuple[str, str] = S.KEY_F
         F.count_if(having("oom_killed")).alias("oom_jobs"),
         F.count_if(having("failed")).alias("failed_jobs"),
         F.count_if(having("running")).alias("running_jobs"),
-        rnd(S.fixed_point_sum(F.col("cost_usd"), S.COST_DIGITS), 4).alias("total_cost_usd"),
-        settle(F.sum("gpu_hours"), 4).alias("total_gpu_hours"),
-        rnd(S.fixed_point_avg(F.when(having("succeeded"), F.col("cost_usd")), S.COST_DIGITS), 4).alias("avg_cost_per_success_usd"),
-        settle(F.avg(F.when(having("succeeded"), F.col("billable_hours"))), 4).alias("avg_duration_hours"),
+        rnd(S.exact_sum(F.col("cost_usd")), 4).alias("total_cost_usd"),
+        rnd(S.exact_sum(F.col("gpu_hours")), 4).alias("total_gpu_hours"),
+        rnd(S.exact_avg(F.when(having("succeeded"), F.col("cost_usd"))), 4).alias("avg_cost_per_success_usd"),
+        rnd(S.exact_avg(F.when(having("succeeded"), F.col("billable_hours"))), 4).alias("avg_duration_hours"),
         rnd(F.max("billable_hours"), 4).alias("max_duration_hours"),
     )
     ended = F.col("total_jobs") - F.col("running_jobs")
@@ -61,45 +56,29 @@ def cost_attribution(job_costs: DataFrame, key_format: tuple[str, str] = S.KEY_F
     )
 
 
-def _resolve(df: DataFrame, method: Method) -> Method:
-    if method != "auto":
-        return method
-    return "in_memory" if fits_in_memory(df) else "selection"
-
-
-def gpu_utilization_hourly(staged_metrics: DataFrame, method: Method = "auto") -> DataFrame:
+def gpu_utilization_hourly(staged_metrics: DataFrame, method: Method = "exact") -> DataFrame:
     """Hourly load, heat, power and capacity signals per GPU type and rack."""
     wanted = [Percentile("p50_gpu_util_pct", 0.50), Percentile("p95_gpu_util_pct", 0.95)]
-    method = _resolve(staged_metrics, method)
-
-    if method == "selection":
-        columns = [
-            *UTILIZATION_GRAIN, "node_id", "gpu_id", "gpu_util_pct", "memory_util_pct", "temp_celsius", "power_watts"
-        ]
-        staged_metrics = scannable(staged_metrics.select(*columns), "utilization-input")
+    if method == "exact":
         percentiles = select_percentiles(staged_metrics, UTILIZATION_GRAIN, "gpu_util_pct", wanted)
     else:
-        in_one_pass = percentile_columns if method == "in_memory" else approx_percentile_columns
-        percentiles = staged_metrics.groupBy(*UTILIZATION_GRAIN).agg(*in_one_pass("gpu_util_pct", wanted))
+        percentiles = staged_metrics.groupBy(*UTILIZATION_GRAIN).agg(*approx_percentile_columns("gpu_util_pct", wanted))
     hourly = zip_on_keys([_hourly_totals(staged_metrics), percentiles], UTILIZATION_GRAIN)
 
     def rounded(c: str, digits: int = 2) -> Column:
         return rnd(F.col(c), digits).alias(c)
 
-    def settled(c: str, digits: int = 2) -> Column:
-        return settle(F.col(c), digits).alias(c)
-
     return hourly.select(
         "hour_bucket",
         "metric_date",
         F.hour("hour_bucket").alias("hour_of_day"),
         S.day_of_week(F.col("hour_bucket")).alias("day_of_week"),
         "gpu_type", "gpu_tier", "rack_id",
-        settled("avg_gpu_util_pct"), rounded("p50_gpu_util_pct"), rounded("p95_gpu_util_pct"),
+        rounded("avg_gpu_util_pct"), rounded("p50_gpu_util_pct"), rounded("p95_gpu_util_pct"),
         rounded("max_gpu_util_pct"),
-        settled("avg_memory_util_pct"), rounded("max_memory_util_pct"),
-        settled("avg_temp_celsius", 1), rounded("max_temp_celsius", 1),
-        settle(F.col("power_watts") / 1000.0, 2).alias("total_power_kw"),
+        rounded("avg_memory_util_pct"), rounded("max_memory_util_pct"),
+        rounded("avg_temp_celsius", 1), rounded("max_temp_celsius", 1),
+        rnd(F.col("power_watts") / 1000.0, 2).alias("total_power_kw"),
         "active_nodes", "active_gpus", "high_util_gpu_count", "idle_gpu_count", "thermal_warning_count",
         S.rate(F.col("high_util_gpu_count"), F.col("active_gpus")).alias("high_util_rate"),
         S.rate(F.col("idle_gpu_count"), F.col("active_gpus")).alias("idle_rate"),
@@ -114,28 +93,28 @@ def _hourly_totals(staged_metrics: DataFrame) -> DataFrame:
     """
     util, memory, temp = F.col("gpu_util_pct"), F.col("memory_util_pct"), F.col("temp_celsius")
     per_gpu = staged_metrics.groupBy(*UTILIZATION_GRAIN, "node_id", "gpu_id").agg(
-        F.sum(util).alias("util_sum"), F.count(util).alias("util_n"), F.max(util).alias("util_max"),
-        F.sum(memory).alias("memory_sum"), F.count(memory).alias("memory_n"), F.max(memory).alias("memory_max"),
-        F.sum(temp).alias("temp_sum"), F.count(temp).alias("temp_n"), F.max(temp).alias("temp_max"),
-        F.sum("power_watts").alias("power"),
+        S.exact_total(util).alias("util_sum"), F.count(util).alias("util_n"), F.max(util).alias("util_max"),
+        S.exact_total(memory).alias("memory_sum"), F.count(memory).alias("memory_n"), F.max(memory).alias("memory_max"),
+        S.exact_total(temp).alias("temp_sum"), F.count(temp).alias("temp_n"), F.max(temp).alias("temp_max"),
+        S.exact_total(F.col("power_watts")).alias("power"),
         F.count_if(util > 90).alias("high"), F.count_if(util < 10).alias("idle"), F.count_if(temp > 85).alias("hot"),
     )
 
     def mean(name: str) -> Column:
-        return F.sum(f"{name}_sum") / F.nullif(F.sum(f"{name}_n"), F.lit(0))
+        return F.sum(f"{name}_sum").cast("double") / F.nullif(F.sum(f"{name}_n"), F.lit(0))
 
     return per_gpu.groupBy(*UTILIZATION_GRAIN).agg(
         mean("util").alias("avg_gpu_util_pct"), F.max("util_max").alias("max_gpu_util_pct"),
         mean("memory").alias("avg_memory_util_pct"), F.max("memory_max").alias("max_memory_util_pct"),
         mean("temp").alias("avg_temp_celsius"), F.max("temp_max").alias("max_temp_celsius"),
-        F.sum("power").alias("power_watts"),
+        F.sum("power").cast("double").alias("power_watts"),
         F.count_distinct("node_id").alias("active_nodes"), F.count_distinct("gpu_id").alias("active_gpus"),
         F.sum("high").alias("high_util_gpu_count"), F.sum("idle").alias("idle_gpu_count"),
         F.sum("hot").alias("thermal_warning_count"),
     )
 
 
-def job_performance_sla(staged_inference: DataFrame, method: Method = "auto") -> DataFrame:
+def job_performance_sla(staged_inference: DataFrame, method: Method = "exact") -> DataFrame:
     """Daily volume, latency distribution, tokens, cost and SLO verdict per model and region."""
     served = successful_requests(staged_inference)
     # One shared condition, so that both percentiles count as one measure.
@@ -150,41 +129,31 @@ def job_performance_sla(staged_inference: DataFrame, method: Method = "auto") ->
     totals = [
         F.count(F.lit(1)).alias("total_requests"),
         F.count_if("cache_hit").alias("cache_hit_requests"),
-        F.avg("latency_ms").alias("avg_latency_ms"),
+        S.exact_avg(F.col("latency_ms")).alias("avg_latency_ms"),
         F.max("latency_ms").alias("max_latency_ms"),
-        F.avg("total_tokens").alias("avg_tokens_per_request"),
+        S.exact_avg(F.col("total_tokens")).alias("avg_tokens_per_request"),
         F.sum("total_tokens").alias("total_tokens"),
-        F.sum("cost_usd").alias("total_cost_usd"),
-        F.avg("cost_usd").alias("avg_cost_per_request"),
+        S.exact_sum(F.col("cost_usd")).alias("total_cost_usd"),
+        S.exact_avg(F.col("cost_usd")).alias("avg_cost_per_request"),
     ]
-    method = _resolve(staged_inference, method)
-    if method == "in_memory":
-        daily = served.groupBy(*SLA_GRAIN).agg(*totals, *percentile_columns("latency_ms", wanted))
-    elif method == "approx":
-        daily = served.groupBy(*SLA_GRAIN).agg(*totals, *approx_percentile_columns("latency_ms", wanted))
+    if method == "exact":
+        percentiles = select_percentiles(served, SLA_GRAIN, "latency_ms", wanted)
+        daily = zip_on_keys([served.groupBy(*SLA_GRAIN).agg(*totals), percentiles], SLA_GRAIN)
     else:
-        columns = [*SLA_GRAIN, "cache_hit", "latency_ms", "total_tokens", "cost_usd"]
-        served = scannable(served.select(*columns), "sla-input")
-        daily = zip_on_keys(
-            [served.groupBy(*SLA_GRAIN).agg(*totals), select_percentiles(served, SLA_GRAIN, "latency_ms", wanted)],
-            SLA_GRAIN,
-        )
+        daily = served.groupBy(*SLA_GRAIN).agg(*totals, *approx_percentile_columns("latency_ms", wanted))
 
     def rounded(c: str, digits: int = 2) -> Column:
         return rnd(F.col(c), digits).alias(c)
 
-    def settled(c: str, digits: int = 2) -> Column:
-        return settle(F.col(c), digits).alias(c)
-
     shaped = daily.select(
         *SLA_GRAIN,
         "total_requests", "cache_hit_requests",
         S.rate(F.col("cache_hit_requests"), F.col("total_requests")).alias("cache_hit_rate"),
-        settled("avg_latency_ms"),
+        rounded("avg_latency_ms"),
         rounded("p50_latency_ms"), rounded("p95_latency_ms"), rounded("p99_latency_ms"), rounded("max_latency_ms"),
         rounded("p50_latency_ms_non_cached"), rounded("p99_latency_ms_non_cached"),
-        settled("avg_tokens_per_request", 0), "total_tokens", settled("total_cost_usd", 4),
-        settled("avg_cost_per_request", 8),
+        rounded("avg_tokens_per_request", 0), "total_tokens", rounded("total_cost_usd", 4),
+        rounded("avg_cost_per_request", 8),
     )
     # The verdict is taken on the rounded p99, the one readers see.
     return shaped.withColumns(

@@ -18,21 +18,13 @@ from fleetmeter.operators import filters as P
 from fleetmeter.session import as_of_date
 
 
-# Decimals of the marts' rounded figures.
-MART_DIGITS = {
-    "total_cost_usd": 4, "total_gpu_hours": 4, "avg_cost_per_success_usd": 4, "avg_duration_hours": 4,
-    "oom_rate": 4, "success_rate": 4,
-    "avg_gpu_util_pct": 2, "idle_rate": 4, "high_util_rate": 4,
-}
-
-
 def _total(figure: str) -> Column:
-    return S.fixed_point_sum(F.col(figure), MART_DIGITS[figure])
+    return S.exact_sum(F.col(figure))
 
 
 def _mean(figure: str) -> Column:
     """Unweighted mean over mart rows."""
-    return S.fixed_point_avg(F.col(figure), MART_DIGITS[figure])
+    return S.exact_avg(F.col(figure))
 
 
 def cost_by_org(cost_attribution: DataFrame, query_date: date | None = None, days: int = 1,

@@ -5,15 +5,20 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SHUFFLE_TARGET_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 32_768
+
+#: What the optimizer assumes of a source it knows no size of is beyond this.
+_UNKNOWN_BYTES = 2**60
 
 _local_scratch: str | None = None
+_scopes: list[list[str]] = []
 
 
 def build_session(app_name: str = "fleetmeter", master: str | None = None, **conf: str) -> SparkSession:
@@ -37,11 +42,11 @@ def build_session(app_name: str = "fleetmeter", master: str | None = None, **con
 def prepare(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
     """Pin a session we did not build to UTC and give its shuffles enough partitions.
 
-    The partition count only ever rises, to one per 256 MB of input up to a cap that
-    keeps shuffle bookkeeping small; AQE merges partitions that turn out small.
+    The partition count only ever rises, to one per 256 MB of input; AQE merges
+    partitions that turn out small.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    wanted = min(math.ceil(input_bytes / SHUFFLE_TARGET_BYTES), MAX_SHUFFLE_PARTITIONS)
+    wanted = math.ceil(input_bytes / SHUFFLE_TARGET_BYTES)
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return spark
@@ -52,10 +57,12 @@ def input_bytes(df: DataFrame) -> int:
 
     For plans that never multiply rows (everything here: dedup, unique-key joins,
     unions, aggregates) this bounds every intermediate result, where the
-    optimizer's own join estimate is a product of both sides.
+    optimizer's own join estimate is a product of both sides. A leaf of unknown size
+    (rows of the driver) counts as nothing.
     """
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return sum(size for size in sizes if size < _UNKNOWN_BYTES)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -67,12 +74,46 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     global _local_scratch
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not (spark.sparkContext.master + "[").startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         if _local_scratch is None:
             _local_scratch = tempfile.mkdtemp(prefix="fleetmeter-")
         root = _local_scratch
-    return f"{root.rstrip('/')}/fleetmeter/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/fleetmeter/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what the body wrote to the scratch folder.
+
+    For steps whose result no longer reads it: what they return is a stored table.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for written in _scopes.pop():
+            path = jvm.org.apache.hadoop.fs.Path(written)
+            path.getFileSystem(conf).delete(path, True)
+
+
+@contextmanager
+def sized_shuffles(*inputs: DataFrame) -> Iterator[None]:
+    """One shuffle partition per 256 MB of the largest input while the body runs, if that is more
+    than the session has; the session's setting comes back."""
+    spark = inputs[0].sparkSession
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    wanted = math.ceil(max(input_bytes(df) for df in inputs) / SHUFFLE_TARGET_BYTES)
+    if wanted > int(before):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def spill_to_table(df: DataFrame, label: str) -> DataFrame:
@@ -87,22 +128,22 @@ def spill_to_table(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def scannable(df: DataFrame, label: str) -> DataFrame:
-    """A frame that is cheap to read several times: ``df`` itself where its plan is a mere
-    scan, else its result as a scratch table, so that no shuffle is repeated per pass."""
-    shuffles = "Exchange" in df._jdf.queryExecution().executedPlan().toString()
-    return spill_to_table(df, label) if shuffles else df
-
-
 def as_of_column(as_of: datetime | None) -> Column:
-    """The reference instant as a timestamp column; the wall clock when not pinned."""
+    """The reference instant as a timestamp column; the wall clock when not pinned.
+
+    A zone-free instant is taken as UTC, any other is converted to it.
+    """
     if as_of is None:
         return F.current_timestamp()
-    return F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+    return F.lit(in_utc(as_of).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+
+
+def in_utc(instant: datetime) -> datetime:
+    return instant.astimezone(timezone.utc) if instant.tzinfo else instant
 
 
 def as_of_date(as_of: datetime | None) -> date:
-    return (as_of or datetime.now(timezone.utc)).date()
+    return in_utc(as_of or datetime.now(timezone.utc)).date()
 
 
 def yesterday(as_of: datetime | None) -> date:

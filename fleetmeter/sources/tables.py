@@ -2,18 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fleetmeter.session import spill_to_table
+from fleetmeter.functions.relational import any_null
+from fleetmeter.session import scratch_scope, spill_to_table
 
 DEFAULT_FORMAT = "parquet"
 
 
-def scan_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
-    return spark.read.format(fmt).load(path)
+def scan_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT, typed: T.StructType | None = None) -> DataFrame:
+    """Read a stored table. Columns that ``typed`` names get its types.
+
+    Folder names carry no types: unless told otherwise, Spark reads the string partitions
+    '01' and '1' as one number.
+    """
+    df = spark.read.format(fmt).load(path)
+    if typed is None or fmt != "parquet":
+        return df
+    types = {f.name: f.dataType for f in typed}
+    schema = T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in df.schema])
+    return df if schema == T.StructType([T.StructField(f.name, f.dataType) for f in df.schema]) else spark.read.schema(schema).parquet(path)
+
+
+def partition_types(df: DataFrame, partition_by: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType) for f in df.schema if f.name in partition_by])
 
 
 def table_exists(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> bool:
@@ -28,6 +46,30 @@ def table_exists(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> b
     return True
 
 
+def in_partitions(df: DataFrame, touched: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of the touched partitions, whose values are a stored table.
+
+    The least and the greatest touched value bound the scan when planning, and make the semi
+    join between them one that prunes partitions at run time. Equality prunes, null-safe
+    equality does not, so NULL partitions are read by a branch of their own.
+    """
+    ends = touched.agg(*(f(c).alias(f"{side}_{c}") for c in partition_by for side, f in (("low", F.min), ("high", F.max)))).first()
+    right = touched.select(*(F.col(c).alias(f"_p_{c}") for c in partition_by))
+
+    def within(rows: DataFrame, prefix: str) -> DataFrame:
+        bounds = (F.col(prefix + c).between(ends[f"low_{c}"], ends[f"high_{c}"]) for c in partition_by)
+        return rows.filter(reduce(lambda a, b: a & b, bounds))
+
+    def joined(rows: DataFrame, values: DataFrame, same: Callable[[Column, Column], Column]) -> DataFrame:
+        on = reduce(lambda a, b: a & b, (same(rows[c], values[f"_p_{c}"]) for c in partition_by))
+        return rows.join(values, on, "left_semi")
+
+    nulls = joined(df.filter(any_null(partition_by)), right, lambda a, b: a.eqNullSafe(b))
+    if any(ends[f"low_{c}"] is None for c in partition_by):
+        return nulls
+    return joined(within(df, ""), within(right, "_p_"), lambda a, b: a == b).unionByName(nulls)
+
+
 def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Lay rows out for a partitioned write.
 
@@ -46,12 +88,13 @@ def write_partitioned_overwrite(df: DataFrame, path: str, partition_by: Sequence
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
-    return scan_table(df.sparkSession, path, fmt)
+    return scan_table(df.sparkSession, path, fmt, partition_types(df, partition_by))
 
 
 def replace_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
     """Replace a table from a plan that may read it: the result is staged first."""
-    return write_partitioned_overwrite(spill_to_table(df, "replace"), path, (), fmt)
+    with scratch_scope(df.sparkSession):
+        return write_partitioned_overwrite(spill_to_table(df, "replace"), path, (), fmt)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
@@ -61,13 +104,13 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
     The new content is staged in the shared scratch folder, then moved in with a dynamic
     overwrite. The fresh read that is returned is the only valid handle on the table.
     """
-    staged = spill_to_table(df, "replace")
-    (
-        balanced(staged, partition_by)
-        .write.format(fmt)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .save(path)
-    )
-    return scan_table(df.sparkSession, path, fmt)
+    with scratch_scope(df.sparkSession):
+        (
+            balanced(spill_to_table(df, "replace"), partition_by)
+            .write.format(fmt)
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*partition_by)
+            .save(path)
+        )
+    return scan_table(df.sparkSession, path, fmt, partition_types(df, partition_by))

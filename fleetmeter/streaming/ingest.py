@@ -15,29 +15,28 @@ from pyspark.sql.streaming import StreamingQuery
 from fleetmeter import schemas
 from fleetmeter.operators.enrich import date_hour_parts, ingest_stamp
 
-# Stream settings.
+# Stream settings, and the source options of the small deployment they come from.
 TOPIC = "inference-api-logs"
-MAX_OFFSETS_PER_TRIGGER = 10_000
+SMALL_DEPLOYMENT = {"starting_offsets": "latest", "max_offsets": 10_000, "fail_on_data_loss": False}
 TRIGGER_INTERVAL = "30 seconds"
 WATERMARK = "10 minutes"
 
 
-def kafka_options(servers: str, topic: str = TOPIC, starting_offsets: str = "latest",
-                  max_offsets: int = MAX_OFFSETS_PER_TRIGGER) -> dict[str, str]:
-    return {
+def kafka_options(servers: str, topic: str = TOPIC, starting_offsets: str = "earliest",
+                  max_offsets: int | None = None, fail_on_data_loss: bool = True) -> dict[str, str]:
+    """By default nothing is skipped and a batch takes what has come in; ``max_offsets`` limits it."""
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
-        "maxOffsetsPerTrigger": str(max_offsets),
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
+    return options if max_offsets is None else options | {"maxOffsetsPerTrigger": str(max_offsets)}
 
 
-def kafka_stream_source(spark: SparkSession, servers: str, topic: str = TOPIC, starting_offsets: str = "latest",
-                        max_offsets: int = MAX_OFFSETS_PER_TRIGGER) -> DataFrame:
-    """Topic subscription; needs the Kafka connector on the session's classpath."""
-    options = kafka_options(servers, topic, starting_offsets, max_offsets)
-    return spark.readStream.format("kafka").options(**options).load()
+def kafka_stream_source(spark: SparkSession, servers: str, topic: str = TOPIC, **source) -> DataFrame:
+    """Topic subscription with the options of ``kafka_options``; needs the Kafka connector on the classpath."""
+    return spark.readStream.format("kafka").options(**kafka_options(servers, topic, **source)).load()
 
 
 def file_stream_source(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:

@@ -1,4 +1,5 @@
 import glob
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,11 +121,53 @@ def test_shuffle_partitions_only_rise(spark):
         session.prepare(spark, 100 * session.SHUFFLE_TARGET_BYTES)
         assert spark.conf.get("spark.sql.shuffle.partitions") == "100"
         session.prepare(spark, 100 * 2**40)
-        assert spark.conf.get("spark.sql.shuffle.partitions") == str(session.MAX_SHUFFLE_PARTITIONS)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(100 * 2**40 // session.SHUFFLE_TARGET_BYTES)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_sizing_of_a_step_ends_with_it(spark, tmp_path, monkeypatch):
+    spark.range(10_000).write.parquet(path := str(tmp_path / "t"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(session, "SHUFFLE_TARGET_BYTES", 1000)
+    with session.sized_shuffles(spark.read.parquet(path)):
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) > int(before)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_scratch_of_a_step_is_deleted(spark):
+    with session.scratch_scope(spark):
+        path = session.scratch_path(spark, "x")
+        spark.range(3).write.parquet(path)
+        assert tables.table_exists(spark, path)
+    assert not tables.table_exists(spark, path)
+
+
+def test_instants_are_converted_to_utc(spark):
+    noon = datetime(2024, 1, 1, 12, tzinfo=timezone(timedelta(hours=2)))
+    assert spark.range(1).select(session.as_of_column(noon).cast("string")).first()[0] == "2024-01-01 10:00:00"
+    assert session.as_of_date(datetime(2024, 1, 1, 1, tzinfo=timezone(timedelta(hours=2)))) == date(2023, 12, 31)
+
+
+def test_compaction_leaves_tidy_partitions_alone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(1000).selectExpr("id", "id % 7 AS k", "id % 2 AS p")
+    df.filter("p = 0").coalesce(1).write.partitionBy("p").parquet(path)
+    df.filter("p = 1").repartition(6).write.mode("append").partitionBy("p").parquet(path)
+    tidy = glob.glob(path + "/p=0/*.parquet")
+    got = maintenance.compact_table(spark, path, ["k", "id"], ["p"])
+    assert glob.glob(path + "/p=0/*.parquet") == tidy and len(glob.glob(path + "/p=1/*.parquet")) == 1
+    assert got.count() == 1000 and same_rows(got, df.withColumn("p", F.col("p").cast("int")))
+
+
+def test_requests_may_come_from_the_stream_table(spark, bronze, tmp_path):
+    i = Inputs(spark, DATA)
+    streamed = i.stream_table()
+    batch.build_silver(spark, bronze, f"{tmp_path}/a", AS_OF, requests=streamed)
+    got = tables.scan_table(spark, f"{tmp_path}/a/inference")
+    assert got.count() == streamed.select("request_id").distinct().count() and not [c for c in got.columns if c.startswith("kafka")]
+
+
 def test_scans_read_only_the_columns_in_use(spark):
     i = Inputs(spark, DATA)
     plan = marts.cost_attribution(i.job_costs())._jdf.queryExecution().executedPlan().toString()

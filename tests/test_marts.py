@@ -40,7 +40,7 @@ REQUEST = ("log_date date, model_id string, region string, is_success boolean, c
            "total_tokens int, cost_usd double")
 
 
-@pytest.mark.parametrize("method", ["in_memory", "selection"])
+@pytest.mark.parametrize("method", ["exact"])
 def test_sla_mart(spark, method):
     d = date(2024, 1, 1)
     rows = [(d, "m-70b", "r", True, i % 4 == 0, 100.0 * i, i, 0.5) for i in range(101)]
@@ -64,7 +64,7 @@ METRIC = ("hour_bucket timestamp, metric_date date, gpu_type string, gpu_tier st
           "gpu_id string, gpu_util_pct double, memory_util_pct double, temp_celsius double, power_watts double")
 
 
-@pytest.mark.parametrize("method", ["in_memory", "selection", "approx"])
+@pytest.mark.parametrize("method", ["exact", "approx"])
 def test_utilization_mart(spark, method):
     hour = datetime(2024, 1, 7, 13)
     rows = [(hour, hour.date(), "H100", "flagship", rack, f"n{i % 2}", f"g{i % 4}", float(u), 50.0, 80.0 + i, 500.0)

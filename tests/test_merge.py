@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import COMPLETION_FIELDS, NOW, ago
-from fleetmeter.operators import dedup, enrich, merge
+from fleetmeter.operators import dedup, enrich, maintenance, merge
 from fleetmeter.sources import tables
 
 
@@ -35,13 +35,13 @@ def test_dedup_winner_is_smallest_and_null_keys_are_one_group(spark):
 
 @pytest.mark.parametrize("stored", [False, True])
 def test_completion_fills_only_open_jobs(spark, sample_jobs, completions, stored):
-    late = completions.unionByName(spark.createDataFrame([("job-001", NOW, 9.0, 1, 999.0)], COMPLETION_FIELDS))
+    late = completions.unionByName(spark.createDataFrame([("train-a", NOW, 9.0, 1, 999.0)], COMPLETION_FIELDS))
     merged = by_id(merge.merge_completions(silver(sample_jobs), late, NOW, stored))
-    assert len(merged) == 4
-    filled = merged["job-002"]
-    assert (filled.ended_at, filled.cost_usd, filled.exit_code) == (NOW, 36.0, 0)
-    assert (filled.gpu_hours, filled.is_success) == (12.0, True)
-    assert merged["job-001"].cost_usd == 136.0 and merged["job-001"].ended_at == ago(hours=1)
+    assert len(merged) == 6
+    filled = merged["train-b"]
+    assert (filled.ended_at, filled.cost_usd, filled.exit_code) == (ago(hours=1), 30.0, 0)
+    assert (filled.gpu_hours, filled.is_success) == (10.0, True)
+    assert merged["train-a"].cost_usd == 357.0 and merged["train-a"].ended_at == ago(hours=9, minutes=30)
 
 
 @pytest.mark.parametrize("stored", [False, True])
@@ -55,21 +55,21 @@ def test_matched_null_overwrites_and_null_keys_never_match(spark, stored):
 
 
 def test_late_fill_keeps_target_where_source_is_null(spark, sample_jobs):
-    partial = spark.createDataFrame([("job-002", NOW, None, None, 36.0), ("job-001", NOW, 1.0, 1, 1.0)], COMPLETION_FIELDS)
+    partial = spark.createDataFrame([("train-b", NOW, None, None, 36.0), ("train-a", NOW, 1.0, 1, 1.0)], COMPLETION_FIELDS)
     got = by_id(merge.late_fill_left_join(sample_jobs, partial, ["job_id"], ["ended_at", "cost_usd", "exit_code"],
                                           merge.OPEN_JOB))
-    assert tuple(got["job-002"]) == ("job-002", NOW, 36.0, None)
-    assert tuple(got["job-001"]) == ("job-001", ago(hours=1), 136.0, 0)
+    assert tuple(got["train-b"]) == ("train-b", NOW, 36.0, None)
+    assert tuple(got["train-a"]) == ("train-a", ago(hours=9, minutes=30), 357.0, 0)
 
 
 def test_repeated_source_key_is_an_error(spark, sample_jobs, completions):
     twice = completions.unionByName(completions.withColumn("cost_usd", F.lit(1.0)))
-    with pytest.raises(PySparkException, match="several rows for key .*job-002"):
+    with pytest.raises(PySparkException, match="several rows for key .*train-b"):
         merge.merge_completions(silver(sample_jobs), twice, NOW).collect()
     with pytest.raises(PySparkException, match="several rows for key"):
         merge.merge_completions(silver(sample_jobs), twice, NOW).agg(F.sum("cost_usd")).collect()
     # A reader of untouched columns needs no join, and still sees each job once.
-    assert merge.merge_completions(silver(sample_jobs), twice, NOW).select("job_id").count() == 4
+    assert merge.merge_completions(silver(sample_jobs), twice, NOW).select("job_id").count() == 6
 
 
 def test_hot_target_key_gets_every_update(spark):
@@ -118,9 +118,30 @@ def test_stored_upsert_finds_a_match_in_another_partition(spark, tmp_path):
     assert sorted(map(tuple, got.select("job_id", "v", "job_date").collect())) == [("a", 2, "x"), ("b", 3, None)]
 
 
-def test_many_touched_partitions_stay_distributed(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(merge, "LISTED_PARTITIONS", 1)
-    test_stored_upsert_finds_a_match_in_another_partition(spark, tmp_path)
+@pytest.mark.parametrize("values", [("01", "02", "10"), ("1e3", "1000", "1"), ("2024-01-01", "2024-1-1", "x"), ("true", None, "null")])
+def test_string_partitions_keep_their_text(spark, tmp_path, values):
+    path, schema = str(tmp_path / "t"), "k string, v int, p string"
+    first = [(f"k{i}", 1, p) for i, p in enumerate(values)]
+    merge.upsert_table(spark, spark.createDataFrame(first, schema), path, ["k"], {"v": "s.v"}, ["p"])
+    folders = set(glob.glob(path + "/p=*"))
+    got = merge.upsert_table(spark, spark.createDataFrame([("k0", 2, values[0]), ("new", 3, values[1])], schema), path, ["k"], {"v": "s.v"}, ["p"])
+    expected = sorted([("k0", 2, values[0]), *first[1:], ("new", 3, values[1])])
+    assert sorted(map(tuple, got.select("k", "v", "p").collect())) == expected and set(glob.glob(path + "/p=*")) == folders
+    for _ in range(2):
+        maintenance.compact_table(spark, path, ["k", "p"], ["p"])
+    assert set(glob.glob(path + "/p=*")) == folders
+    assert sorted(map(tuple, tables.scan_table(spark, path, typed=got.schema).select("k", "v", "p").collect())) == expected
+
+
+def test_touched_partitions_prune_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(100).selectExpr("id", "date_add(DATE'2024-01-01', CAST(id % 10 AS INT)) AS day")
+    stored = tables.write_partitioned_overwrite(df, path, ["day"])
+    touched = tables.write_partitioned_overwrite(
+        spark.createDataFrame([(NOW.date().replace(day=2),), (None,)], "day date"), str(tmp_path / "touched"))
+    got = tables.in_partitions(stored, touched, ["day"])
+    assert got.count() == 10
+    assert "dynamicpruning" in got._jdf.queryExecution().toString().lower()
 
 
 def test_unpartitioned_upsert(spark, tmp_path):
@@ -141,9 +162,22 @@ def test_stored_completions(spark, sample_jobs, completions, tmp_path):
     assert merge.merge_completions_table(spark, path, completions, NOW) is None
     merge.upsert_jobs(spark, silver(sample_jobs), path)
     got = by_id(merge.merge_completions_table(spark, path, completions, NOW))
-    assert len(got) == 4 and got["job-002"].cost_usd == 36.0 and got["job-001"].cost_usd == 136.0
-    unmatched = spark.createDataFrame([("job-999", NOW, 1.0, 0, 1.0)], COMPLETION_FIELDS)
-    assert merge.merge_completions_table(spark, path, unmatched, NOW).count() == 4
+    assert len(got) == 6 and got["train-b"].cost_usd == 30.0 and got["train-a"].cost_usd == 357.0
+    unmatched = spark.createDataFrame([("nobody", NOW, 1.0, 0, 1.0)], COMPLETION_FIELDS)
+    assert merge.merge_completions_table(spark, path, unmatched, NOW).count() == 6
+
+
+def test_completions_of_an_unpartitioned_table(spark, sample_jobs, completions, tmp_path):
+    path = str(tmp_path / "jobs")
+    tables.write_partitioned_overwrite(silver(sample_jobs), path)
+    got = by_id(merge.merge_completions_table(spark, path, completions, NOW, partition_by=()))
+    assert len(got) == 6 and got["train-b"].cost_usd == 30.0
+
+
+def test_the_delivery_that_knows_the_end_wins(spark):
+    rows = [("a", None, 1.0, None, None), ("a", ago(hours=2), 1.0, 0, 5.0), ("a", ago(hours=1), 1.0, 0, 1.0), ("b", None, 1.0, None, None)]
+    got = by_id(dedup.dedup_jobs(spark.createDataFrame(rows, COMPLETION_FIELDS)))
+    assert got["a"].ended_at == ago(hours=1) and got["b"].ended_at is None
 
 
 def test_overwrite_ignores_a_dynamic_session(spark, tmp_path):

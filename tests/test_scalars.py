@@ -74,11 +74,11 @@ def test_rates_and_labels(spark):
     assert got == [(0.3333, 0.6667, "high"), (None, 1.0, "medium"), (1.0, 0.0, "low"), (0.125, 0.875, None)]
 
 
-def test_fixed_point_sum_is_exact(spark):
+def test_decimal_sum_is_exact(spark):
     df = spark.createDataFrame([(0.1,)] * 10 + [(None,)], "x double")
-    got = values(df.agg(S.fixed_point_sum(F.col("x"), 6).alias("s"), S.fixed_point_avg(F.col("x"), 6).alias("a")), "s", "a")
+    got = values(df.agg(S.exact_sum(F.col("x")).alias("s"), S.exact_avg(F.col("x")).alias("a")), "s", "a")
     assert got == [(1.0, 0.1)]
-    nothing = df.filter("x is null").agg(S.fixed_point_sum(F.col("x"), 6).alias("s"), S.fixed_point_avg(F.col("x"), 6).alias("a"))
+    nothing = df.filter("x is null").agg(S.exact_sum(F.col("x")).alias("s"), S.exact_avg(F.col("x")).alias("a"))
     assert values(nothing, "s", "a") == [(None, None)]
 
 
@@ -92,10 +92,12 @@ def test_billing_rules(spark, sample_jobs):
     costs = staging.int_job_costs(staging.stg_jobs(silver), NOW)
     got = {r.job_id: (r.billable_hours, r.cost_usd, r.job_status) for r in costs.collect()}
     assert got == {
-        "job-001": (4.0, 136.0, "succeeded"),
-        "job-002": (3.0, 36.0, "running"),
-        "job-003": (1.0, 0.74, "oom_killed"),
-        "job-004": (0.0, 0.0, "platform_error"),
+        "train-a": (10.5, 357.0, "succeeded"),
+        "train-b": (6.0, 36.0, "running"),
+        "sweep-1": (0.25, 0.74, "oom_killed"),
+        "sweep-2": (0.0, 0.0, "platform_error"),
+        "odd-gpu": (2.0, None, "failed"),
+        "no-count": (1.5, None, "succeeded"),
     }
 
 

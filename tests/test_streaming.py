@@ -52,8 +52,10 @@ def test_restart_appends_once_and_keeps_late_rows(spark, tmp_path):
 
 def test_kafka_settings():
     options = ingest.kafka_options("h:1")
-    assert options == {"kafka.bootstrap.servers": "h:1", "subscribe": "inference-api-logs", "startingOffsets": "latest",
-                       "failOnDataLoss": "false", "maxOffsetsPerTrigger": "10000"}
+    assert options == {"kafka.bootstrap.servers": "h:1", "subscribe": "inference-api-logs", "startingOffsets": "earliest",
+                       "failOnDataLoss": "true"}
+    assert ingest.kafka_options("h:1", **ingest.SMALL_DEPLOYMENT) == options | {
+        "startingOffsets": "latest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "10000"}
     assert ingest.TRIGGER_INTERVAL == "30 seconds"
 
 
