@@ -32,8 +32,8 @@ def jobs_start(d: Dialect) -> str:
     SELECT concat('job-', cast(o_orderkey AS {d.text})) AS job_id,
       concat('org-', lpad(cast(o_custkey % 4 + 1 AS {d.text}), 3, '0')) AS org_id,
       concat('user-', lpad(cast(o_custkey % 8 + 1 AS {d.text}), 4, '0')) AS user_id,
-      CASE o_orderpriority WHEN '1-URGENT' THEN 'H100-SXM5-80GB' WHEN '2-HIGH' THEN 'A100-SXM4-80GB'
-        WHEN '3-MEDIUM' THEN 'A100-PCIe-40GB' WHEN '4-NOT SPECIFIED' THEN 'RTX-4090' ELSE 'A10G' END AS gpu_type,
+      CASE WHEN o_orderkey % 211 = 7 THEN 'L40S' ELSE CASE o_orderpriority WHEN '1-URGENT' THEN 'H100-SXM5-80GB' WHEN '2-HIGH' THEN 'A100-SXM4-80GB'
+        WHEN '3-MEDIUM' THEN 'A100-PCIe-40GB' WHEN '4-NOT SPECIFIED' THEN 'RTX-4090' ELSE 'A10G' END END AS gpu_type,
       CASE o_orderkey % 7 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 4 WHEN 3 THEN 8 WHEN 4 THEN 16
         WHEN 5 THEN 32 ELSE 64 END AS gpu_count,
       CASE o_custkey % 4 WHEN 0 THEN 'pytorch' WHEN 1 THEN 'jax' WHEN 2 THEN 'tensorflow'
@@ -44,8 +44,8 @@ def jobs_start(d: Dialect) -> str:
       cast(o_orderkey % 2000 + 100 AS double) AS dataset_size_gb,
       {origin} + {d.secs(f'cast({start} AS int)')} AS started_at,
       CASE WHEN {late} THEN NULL
-        ELSE {origin} + {d.secs(f'cast({start} + (o_orderkey * 37 % 100 + 1) * 225 AS int)')} END AS ended_at,
-      CASE WHEN {late} THEN NULL ELSE (o_orderkey * 37 % 100 + 1) / cast(16 AS double) END AS duration_hours,
+        ELSE {origin} + {d.secs(f'cast({start} + (o_orderkey * 37 % 100 + 1) * 360 AS int)')} END AS ended_at,
+      CASE WHEN {late} THEN NULL ELSE (o_orderkey * 37 % 100 + 1) / cast(10 AS double) END AS duration_hours,
       CASE WHEN {late} THEN NULL WHEN o_orderkey % 11 = 8 THEN 1 WHEN o_orderkey % 11 = 9 THEN 137
         WHEN o_orderkey % 11 = 10 THEN 143 ELSE 0 END AS exit_code,
       CASE WHEN {late} THEN NULL ELSE o_totalprice / 1000 END AS cost_usd,
@@ -54,11 +54,11 @@ def jobs_start(d: Dialect) -> str:
 
 
 def jobs_completion(d: Dialect) -> str:
-    end = "o_orderkey % 13 * 86400 + o_orderkey * 97 % 86400 + (o_orderkey * 37 % 100 + 1) * 225"
+    end = "o_orderkey % 13 * 86400 + o_orderkey * 97 % 86400 + (o_orderkey * 37 % 100 + 1) * 360"
     return f"""
     SELECT concat('job-', cast(o_orderkey AS {d.text})) AS job_id,
       cast('2024-01-15 00:00:00' AS {d.timestamp}) + {d.secs(f'cast({end} AS int)')} AS ended_at,
-      (o_orderkey * 37 % 100 + 1) / cast(16 AS double) AS duration_hours,
+      (o_orderkey * 37 % 100 + 1) / cast(10 AS double) AS duration_hours,
       CASE o_orderkey % 11 WHEN 8 THEN 1 WHEN 9 THEN 137 WHEN 10 THEN 143 ELSE 0 END AS exit_code,
       o_totalprice / 1000 + 1000 AS cost_usd,
       cast(o_orderkey % 6 + 1 AS double) AS late_delay_hours
@@ -86,7 +86,7 @@ def inference(d: Dialect) -> str:
       CASE WHEN {failed} THEN 0 ELSE cast({tokens_in} + {tokens_out} AS int) END AS total_tokens,
       value * CASE event_id % 7 WHEN 0 THEN 32 WHEN 5 THEN 64 ELSE 16 END AS latency_ms,
       CASE WHEN {failed} THEN cast(0 AS double)
-        ELSE cast({tokens_in} + {tokens_out} AS double) / 1024 END AS cost_usd,
+        ELSE cast({tokens_in} + {tokens_out} AS double) / 1000 END AS cost_usd,
       ts AS timestamp
     FROM events"""
 

@@ -446,7 +446,7 @@ def _aggregates() -> dict[str, str]:
         "top_slo_breaches": f"""
     SELECT model_id, region, model_size_tier, p99_latency_ms, log_date FROM job_performance_sla
     WHERE slo_p99_breached AND log_date = {COST_DATE} ORDER BY p99_latency_ms DESC, model_id, region LIMIT 10""",
-        "union_all": "SELECT job_id, 2::BIGINT AS copies FROM jobs_start",
+        "union_all": "SELECT job_id, count(*) AS copies FROM (FROM jobs_start UNION ALL FROM jobs_start) GROUP BY job_id",
         "distinct_keys": "SELECT DISTINCT job_id FROM jobs_bronze",
     }
 
@@ -478,6 +478,11 @@ def _reads() -> dict[str, str]:
     }
 
 
+# Known categories.
+KNOWN_GPUS = "'H100-SXM5-80GB', 'A100-SXM4-80GB', 'A100-PCIe-40GB', 'RTX-4090', 'A10G'"
+REPEATED_JOBS = "(SELECT coalesce(sum(c), 0) FROM (SELECT count(*) AS c FROM silver_jobs GROUP BY job_id HAVING count(job_id) > 1))"
+
+
 def _quality() -> dict[str, str]:
     gate = _checks(
         [
@@ -488,20 +493,22 @@ def _quality() -> dict[str, str]:
             _value_check("not_null", "gpu_type", "n", "(n - n_type)"),
             _value_check("not_null", "gpu_count", "n", "(n - n_gpus)"),
             _value_check("not_null", "started_at", "n", "no_start"),
-            _value_check("unique", "job_id", "n_job", "0"),
+            _value_check("unique", "job_id", "n_job", REPEATED_JOBS),
             _value_check("between", "gpu_count", "n_gpus", "bad_gpus"),
             _value_check("between", "cost_usd", "n_cost", "bad_cost", 0.99),
             _value_check("in_set", "gpu_type", "n_type", "bad_type", 0.99),
             _value_check("in_set", "framework", "n_fw", "bad_fw", 0.98),
-            ("mean_between", "cost_usd", "n_cost", "NULL", "round(mean_cost, 6)", "mean_cost BETWEEN 1 AND 500"),
+            ("mean_between", "cost_usd", "n_cost", "NULL", "mean_cost", "mean_cost BETWEEN 1 AND 500"),
             ("median_between", "gpu_count", "n_gpus", "NULL", "median_gpus", "median_gpus BETWEEN 1 AND 8"),
         ],
         "jobs_figures",
     )
     open_jobs = "(n - n_end)"
-    jobs = "(SELECT count(*) AS n, count(ended_at) AS n_end FROM merged_jobs)"
-    ranged = "(SELECT count(*) AS n, count(cost_usd) AS n_cost, sum((cost_usd < 10)::INT) AS low FROM merged_jobs)"
-    sets = "(SELECT count(*) AS n, sum((framework NOT IN ('pytorch', 'jax'))::INT) AS other FROM merged_jobs)"
+    jobs = "(SELECT count(*) AS n, count(job_id) AS n_id, count(ended_at) AS n_end FROM merged_jobs)"
+    ranged = "(SELECT count(*) AS n, count(cost_usd) AS n_cost, sum((cost_usd < 10)::INT) AS low, " \
+             "sum((gpu_count NOT BETWEEN 1 AND 512)::INT) AS odd FROM merged_jobs)"
+    sets = "(SELECT count(*) AS n, sum((framework NOT IN ('pytorch', 'jax'))::INT) AS other, " \
+           f"sum((gpu_type NOT IN ({KNOWN_GPUS}))::INT) AS unknown FROM merged_jobs)"
     repeated = "(SELECT sum(c) AS n, sum(CASE WHEN c > 1 THEN c ELSE 0 END) AS twice FROM " \
                "(SELECT count(*) AS c FROM jobs_bronze GROUP BY job_id))"
     centre = "(SELECT count(*) AS n, count(duration_hours) AS n_h, avg(gpu_count) AS mean_g, " \
@@ -513,23 +520,23 @@ def _quality() -> dict[str, str]:
             [("row_count_between", None, "n", "NULL", "n", "n >= 500"),
              ("row_count_between", None, "n", "NULL", "n", "n <= 10")], jobs),
         "expect_not_null": _checks(
-            [_value_check("not_null", "job_id", "n", "0"), _value_check("not_null", "ended_at", "n", open_jobs),
+            [_value_check("not_null", "job_id", "n", "(n - n_id)"), _value_check("not_null", "ended_at", "n", open_jobs),
              _value_check("not_null", "ended_at", "n", open_jobs, 0.9)], jobs),
         "expect_unique": _checks(
             [_value_check("unique", "job_id", "n", "twice"), _value_check("unique", "job_id", "n", "twice", 0.5)],
             repeated),
         "expect_between": _checks(
-            [_value_check("between", "gpu_count", "n", "0"), _value_check("between", "cost_usd", "n_cost", "low", 0.99)],
+            [_value_check("between", "gpu_count", "n", "odd"), _value_check("between", "cost_usd", "n_cost", "low", 0.99)],
             ranged),
         "expect_in_set": _checks(
-            [_value_check("in_set", "gpu_type", "n", "0", 0.99), _value_check("in_set", "framework", "n", "other", 0.98)],
+            [_value_check("in_set", "gpu_type", "n", "unknown", 0.99), _value_check("in_set", "framework", "n", "other", 0.98)],
             sets),
         "expect_mean_between": _checks(
             [("mean_between", "gpu_count", "n", "NULL", "mean_g", "mean_g BETWEEN 1 AND 500")], centre),
         "expect_median_between": _checks(
             [("median_between", "gpu_count", "n", "NULL", "med_g", "med_g BETWEEN 1 AND 8"),
              ("median_between", "duration_hours", "n_h", "NULL", "med_h", "med_h >= 5")], centre),
-        "silver_jobs_gate": gate,
+        "silver_jobs_gate": f"SELECT * REPLACE (round(observed, 6) AS observed) FROM ({gate})",
         "test_unique": _failures([
             ("jobs", "job_id", "unique", _repeats("jobs_bronze", "job_id")),
             ("inference", "request_id", "unique", _repeats("inference_bronze", "request_id")),
@@ -548,7 +555,7 @@ def _quality() -> dict[str, str]:
         "test_accepted_values": _failures([
             ("jobs", "gpu_type", "accepted_values", _count_where(
                 "jobs_bronze",
-                "gpu_type NOT IN ('H100-SXM5-80GB', 'A100-SXM4-80GB', 'A100-PCIe-40GB', 'RTX-4090', 'A10G')")),
+                f"gpu_type NOT IN ({KNOWN_GPUS})")),
             ("inference", "status_code", "accepted_values",
              _count_where("inference_bronze", "status_code NOT IN (200, 429, 500, 503)")),
             ("inference", "status_code", "accepted_values",
