@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .support import filled, gathered, mixed
+from .support import filled, mixed, short_batches
 
 DIMENSIONS = 1024
 #: What a text without letters is called.
@@ -165,6 +165,7 @@ def identify(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
     """
     if dimensions % 64:
         raise ValueError("dimensions is a multiple of 64")
+    short_batches(docs.sparkSession)
     ident = F.col("doc_id").cast("string").cast("binary")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), filled().cast("string").alias("text"), F.col("lang").cast("string").alias("lang"),

@@ -21,9 +21,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that go to Python at a time; documents are long, and Spark's default of 10,000 is meant for short rows.
+BATCH_ROWS = 1_000
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch size to BATCH_ROWS where it is above (it is read when a plan starts)."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def picked(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The two columns an operator works on, under its own names; other columns, whatever
     they are called, stay behind."""
+    short_batches(docs.sparkSession)
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
