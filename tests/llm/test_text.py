@@ -140,3 +140,31 @@ def test_vocabulary_counts_all_documents(spark):
     counts = Counter(w.lower() for (t,) in texts for w in words(t))
     ((_, hashes),) = document_words(pa.record_batch({"text": pa.array([" ".join(w for w, _ in counts.most_common(50))])}), SpanHasher(), True)
     assert set(hashes[:50].tolist()) <= set(known.tolist()) and len(known) == 1024 - 256 - 1
+
+
+def test_every_word_has_its_own_probability(spark):
+    """Words outside the vocabulary take shares of their hash class that follow their counts and sum to one."""
+    common = " ".join(f"c{i}" for i in range(767))
+    texts = [(1, common), (2, common), (3, common), (4, common)] + [(10 + i, f"r{i} " * (1 + i % 3)) for i in range(600)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: r for r in masked_lm.score(docs).collect()}
+    known, _ = masked_lm.vocabulary(masked_lm.picked(docs))
+    assert len(known) == 767 and all(got[i].word_log_prob == got[i].log_prob for i in range(1, 5))
+    hashes = {i: document_words(pa.record_batch({"text": pa.array([f"r{i}"])}), SpanHasher(), True) for i in range(600)}
+    of = {i: int(next(h)[1].view(np.int64)[0]) % 256 for i, h in hashes.items()}
+    mass = Counter()
+    for i, k in of.items():
+        mass[k] += 2 + i % 3
+    for i, k in of.items():
+        share = got[10 + i].word_log_prob - got[10 + i].log_prob
+        assert abs(share - (1 + i % 3) * np.log((2 + i % 3) / mass[k])) < 1e-3
+    assert max(Counter(of.values()).values()) > 1 and len(got) == len(texts)
+
+
+def test_vocabulary_grows_with_the_corpus(spark):
+    docs = spark.range(40).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 100000), i -> concat('w', (i * 7919 + id) % 20000))) AS text")
+    known, place = masked_lm.vocabulary(masked_lm.picked(docs))
+    side = masked_lm.side_of(len(known))
+    assert len(known) == masked_lm.known_words(45) and side == 45 and sorted(place) == list(range(len(known)))
+    assert all(masked_lm.side_of(masked_lm.known_words(s)) == s and masked_lm.side_of(masked_lm.known_words(s) + 1) == s + 1 for s in range(32, 600))
+    assert {k: v.shape for k, v in masked_lm.initial(side=side).items()} == masked_lm.shapes(side)
