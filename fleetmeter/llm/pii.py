@@ -2,7 +2,8 @@
 
 All of it is DataFrame code. Base entities come from four regular expressions with checks. They
 are the seeds of a bootstrap: the one and two words before an identifier (a word with a digit or
-an at-sign) are its lexical patterns, and over the graph of patterns and instances each pattern
+an at-sign) are its lexical patterns. An instance is a whole base entity, or a whole run of adjacent
+identifiers that are in none. Over the graph of patterns and instances each pattern
 takes the mean score of its instances and each unlabelled instance the mean score of its patterns,
 round by round. Patterns that end up confident for a kind turn the unlabelled identifiers behind
 them into entities of that kind.
@@ -83,6 +84,7 @@ def _luhn(text: Column) -> Column:
 
 
 _SPAN = "array<struct<kind:int,start:int,end:int>>"
+_NAMED = "array<struct<kind:int,start:int,end:int,token:bigint>>"
 
 
 def _spans(text: Column, kind: int, pattern: str, valid: Callable[[Column], Column] | None, sign: str | None) -> Column:
@@ -90,12 +92,21 @@ def _spans(text: Column, kind: int, pattern: str, valid: Callable[[Column], Colu
         F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(h)).alias("end"), h.alias("hit")))
     if valid:
         found = F.filter(found, lambda s: valid(s["hit"]))
-    found = F.transform(found, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).cast(_SPAN)
-    return F.when(text.contains(sign), found).otherwise(F.array().cast(_SPAN)) if sign else found
+    found = F.transform(found, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.xxhash64(s["hit"]).alias("token"))).cast(_NAMED)
+    return F.when(text.contains(sign), found).otherwise(F.array().cast(_NAMED)) if sign else found
 
 
 def base_spans(text: Column) -> Column:
     """Base entities by kind, then start: array of (kind number, start, end) in code points, end exclusive."""
+    return _plain(_named_spans(text))
+
+
+def _plain(named: Column) -> Column:
+    return F.transform(named, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).cast(_SPAN)
+
+
+def _named_spans(text: Column) -> Column:
+    """Base entities with a hash of each one's whole text."""
     return F.concat(
         _spans(text, 0, _EMAIL, None, "@"),
         _spans(text, 1, _IP, lambda h: h.rlike(_IP_VALID), "."),
@@ -105,7 +116,8 @@ def base_spans(text: Column) -> Column:
 
 
 def _identifiers(text: Column) -> Column:
-    """Words with a digit or an at-sign: (token, start, end of the word without outer punctuation, contexts)."""
+    """Words with a digit or an at-sign: (core without outer punctuation, its start and end, contexts, whether
+    only white space and no stop lies between it and the word before)."""
     def make(gap: Column, word: Column, start: Column) -> Column:
         lead = F.length(F.regexp_extract(word, "^[^A-Za-z0-9+]*", 0))
         core = F.regexp_extract(word, "(?s)[A-Za-z0-9+](?:.*[A-Za-z0-9])?", 0)
@@ -113,19 +125,40 @@ def _identifiers(text: Column) -> Column:
         contexts = let(tail, lambda w: F.filter(F.array(
             F.when(F.size(w) > 0, F.get(w, F.size(w) - 1)),
             F.when(F.size(w) > 1, F.concat(F.get(w, F.size(w) - 2), F.lit(" "), F.get(w, F.size(w) - 1)))), lambda x: x.isNotNull()))
-        return F.struct(core.alias("token"), (start + lead).alias("start"), (start + lead + F.length(core)).alias("end"), contexts.alias("contexts"))
+        return F.struct(core.alias("core"), (start + lead).alias("start"), (start + lead + F.length(core)).alias("end"), contexts.alias("contexts"),
+                        (~gap.rlike(r"[^\x20\x09-\x0D]")).alias("follows"), word.rlike(r"""[.,;:!?]["')\]]?\z""").alias("stops"))
 
-    return F.filter(_matches(text, _IDENTIFIER, make), lambda s: F.length(s["token"]) > 0)
+    return F.filter(_matches(text, _IDENTIFIER, make), lambda s: F.length(s["core"]) > 0)
 
 
 def _labelled(identifiers: Column, base: Column) -> Column:
-    """Each identifier with the kind of the base entity that starts in it: -1 none, -2 it only overlaps one."""
+    """Instances: (token, a hash of its text; start, end, contexts, label). The label is the kind of the base
+    entity that starts in the word, whose whole text is the token; -2 where a word only overlaps one; -1 for a
+    run of adjacent words in no base entity, from the first word to the last."""
     def label(x: Column) -> Column:
         inside = F.filter(base, lambda b: (b["start"] < x["end"]) & (b["end"] > x["start"]))
-        begins = let(inside, lambda b: F.coalesce(F.get(F.filter(b, lambda y: y["start"] >= x["start"]), F.lit(0))["kind"], F.when(F.size(b) > 0, F.lit(-2)), F.lit(-1)))
-        return x.withField("label", begins)
+        return let(inside, lambda b: let(F.get(F.filter(b, lambda y: y["start"] >= x["start"]), F.lit(0)), lambda first: F.struct(
+            x["core"].alias("core"), x["start"].alias("start"), x["end"].alias("end"), x["contexts"].alias("contexts"), x["follows"].alias("follows"),
+            x["stops"].alias("stops"), first["token"].alias("token"), F.coalesce(first["kind"], F.when(F.size(b) > 0, F.lit(-2)), F.lit(-1)).alias("label"))))
+
+    def runs(w: Column) -> Column:
+        def begins(x: Column, i: Column) -> Column:
+            before = F.get(w, i - 1)
+            return F.when((i > 0) & x["follows"] & ~before["stops"] & (x["label"] == -1) & (before["label"] == -1), F.lit(None)).otherwise(i)
+
+        def whole(heads: Column) -> Column:
+            def run(i: Column, n: Column) -> Column:
+                end = F.coalesce(F.get(heads, n + 1), F.size(w))
+                text = F.array_join(F.transform(F.slice(w, i + 1, end - i), lambda x: x["core"]), " ")
+                return let(F.get(w, i), lambda x: F.struct(
+                    F.coalesce(x["token"], F.xxhash64(text)).alias("token"), x["start"].alias("start"), F.get(w, end - 1)["end"].alias("end"),
+                    x["contexts"].alias("contexts"), x["label"].alias("label")))
+
+            return F.transform(heads, run)
+
+        return let(F.filter(F.transform(w, begins), lambda i: i.isNotNull()), whole)
 
-    return F.transform(identifiers, label)
+    return let(F.transform(identifiers, label), runs)
 
 
 def confident_patterns(instances: DataFrame) -> DataFrame:
@@ -158,8 +191,8 @@ def find_pii(docs: DataFrame) -> DataFrame:
     base and what confident contexts add; an added span never overlaps a base span.
     """
     rows = picked(docs).where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("row"), filled().alias("text"))
-    based = rows.select("doc_id", "row", base_spans(F.col("text")).alias("base"), _identifiers(F.col("text")).alias("words"))
-    read = spill_to_table(based.select("doc_id", "row", "base", _labelled(F.col("words"), F.col("base")).alias("words")), "spans")
+    based = rows.select("doc_id", "row", _named_spans(F.col("text")).alias("named"), _identifiers(F.col("text")).alias("words"))
+    read = spill_to_table(based.select("doc_id", "row", _plain(F.col("named")).alias("base"), _labelled(F.col("words"), F.col("named")).alias("words")), "spans")
     word = read.select("doc_id", "row", F.explode("words").alias("w")).select("doc_id", "row", "w.*")
     word = word.withColumn("pattern", F.explode("contexts")).drop("contexts")
     confident = spill_to_table(confident_patterns(word.where("label >= -1").select("pattern", "token", "label")), "confident")

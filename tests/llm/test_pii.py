@@ -158,3 +158,18 @@ def test_redaction(spark):
     df = spark.createDataFrame([(1, text), (2, "clean"), (3, "")], "doc_id long, text string")
     out = df.withColumn("spans", pii.base_spans(F.col("text"))).select("doc_id", pii.redacted(F.col("text"), F.col("spans")).alias("t")).collect()
     assert {r.doc_id: r.t for r in out} == {1: "é [EMAIL] then [IP] and [CARD].", 2: "clean", 3: ""}
+
+
+def test_support_counts_whole_entities_and_added_spans_cover_whole_runs(spark):
+    """Phones of one country code are different instances; an unlabelled identifier is all of its words."""
+    docs = [(i, f"please dial +1 ({i:03d}) 555-77{i:02d} now") for i in range(30)]
+    docs += [(30, "please dial 0171 555 1234 now"), (31, "please dial (0171) 555 1235, 12 times"), (32, "then 0171 555 1234 now")]
+    docs += [(40 + i, f"card given 4111 1111 1111 {n} ok") for i, n in enumerate(("1111", "1129", "1137", "1145", "1152"))]
+    docs += [(50, "card given 4111 1111 1111 1112 ok")]
+    got = {r.doc_id: [(*s,) for s in r.spans] for r in pii.find_pii(odd(spark, [(i, t, None) for i, t in docs])).collect()}
+    texts = dict(docs)
+    cut = {i: [(pii.KINDS[k], texts[i][a:b]) for k, a, b in s] for i, s in got.items()}
+    assert all(cut[i] == [("phone", texts[i][12:-4])] for i in range(30))
+    assert cut[30] == [("phone", "0171 555 1234")] and cut[31] == [("phone", "0171) 555 1235")] and cut[32] == []
+    assert all(k == [("card", texts[i][11:-3])] for i, k in cut.items() if 40 <= i < 50)
+    assert cut[50] == [("card", "4111 1111 1111 1112")]
