@@ -210,10 +210,19 @@ def listed(spans: str) -> Column:
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind in brackets; of overlapping spans the one that starts first counts."""
-    by_start = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    apart = F.aggregate(by_start, F.array().cast("array<struct<start:int,end:int,kind:int>>"), lambda kept, s: F.when(
-        (F.size(kept) == 0) | (s["start"] >= F.coalesce(F.get(kept, F.size(kept) - 1)["end"], F.lit(0))), F.concat(kept, F.array(s))).otherwise(kept))
+    """The text with each span replaced by its kind in brackets; overlapping spans are cut as one, under the kind of the longest."""
+    by_start = F.array_sort(F.transform(spans, lambda s: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), (s["end"] - s["start"]).alias("longest"))))
+
+    def add(kept: Column, s: Column) -> Column:
+        last = F.get(kept, F.size(kept) - 1)
+        union = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"),
+                         F.when(s["longest"] > last["longest"], s["kind"]).otherwise(last["kind"]).alias("kind"),
+                         F.greatest(last["longest"], s["longest"]).alias("longest"))
+        return F.when((F.size(kept) == 0) | (s["start"] >= F.coalesce(last["end"], F.lit(0))), F.concat(kept, F.array(s))).otherwise(
+            F.concat(F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0))), F.array(union)))
+
+    apart = F.aggregate(by_start, F.array().cast("array<struct<start:int,end:int,kind:int,longest:int>>"), add)
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
 
     def cut(x: Column) -> Column:

@@ -173,3 +173,11 @@ def test_support_counts_whole_entities_and_added_spans_cover_whole_runs(spark):
     assert cut[30] == [("phone", "0171 555 1234")] and cut[31] == [("phone", "0171) 555 1235")] and cut[32] == []
     assert all(k == [("card", texts[i][11:-3])] for i, k in cut.items() if 40 <= i < 50)
     assert cut[50] == [("card", "4111 1111 1111 1112")]
+
+
+def test_redaction_leaves_nothing_of_overlapping_spans(spark):
+    texts = ["x 192.168.1.5@mail.example.com y", "x +491701234567@sms.example.com y", "0123456789abcdef a@b.cc"]
+    spans = [None, None, [(3, 0, 4), (1, 2, 9), (2, 8, 10), (0, 10, 12)]]
+    df = spark.createDataFrame(list(zip(texts, spans)), "text string, given " + pii._SPAN)
+    out = [r.t for r in df.select(pii.redacted(F.col("text"), F.coalesce("given", pii.base_spans(F.col("text")))).alias("t")).collect()]
+    assert out == ["x [EMAIL] y", "x [EMAIL] y", "[IP][EMAIL]cdef a@b.cc"]
