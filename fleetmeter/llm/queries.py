@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language, licenses, masked_lm, minhash, packing, pii, substring, topk
+from . import bpe, exact_dedup, language, licenses, masked_lm, minhash, packing, pii, prefix_trie, substring, topk
 from .support import table
 
 
@@ -55,6 +55,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents")).drop("row")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -145,5 +149,38 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
 """
 
 
+_OP11_SQL = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce("role", '') AS speaker, coalesce("text", '') AS said FROM conversations WHERE conv_id IS NOT NULL
+), e AS (
+  SELECT conv_id, turn, sha256(CAST(strlen(speaker) AS VARCHAR) || ':' || speaker || said) AS k, length(said) AS points FROM t
+), o AS (
+  SELECT conv_id, list(k || ':' || CAST(points AS VARCHAR) ORDER BY turn NULLS FIRST, k) AS seq FROM e GROUP BY conv_id
+), c AS (
+  SELECT conv_id, seq, xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda crc, x: list_reduce(CAST(range(8) AS BIGINT[]), lambda b, i: xor(b >> 1, (b & 1) * 3988292384), xor(crc, x)),
+    4294967295), 4294967295) % 6 AS h FROM o
+), r AS (
+  SELECT c.conv_id, list_concat(CASE WHEN o.seq IS NULL THEN [] ELSE o.seq[1 : h] END, c.seq[h + 1 :]) AS seq
+  FROM c LEFT JOIN o ON o.conv_id = c.conv_id - c.conv_id % 100
+), p AS (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS d FROM r),
+n AS (
+  SELECT seq[1 : d] AS node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CASE WHEN len(seq) = d THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends
+  FROM p GROUP BY ALL
+), k AS (SELECT node[1 : d - 1] AS node, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+x AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children,
+         CASE WHEN d > 0 THEN (n_convs - 1) * CAST(split_part(node[d], ':', 2) AS BIGINT) ELSE 0 END AS own
+  FROM n LEFT JOIN k USING (node)
+), u AS (SELECT node, own, n_children, unnest(range(0, d + 1)) AS up FROM x),
+s AS (SELECT node[1 : up] AS node, sum(own) AS saved, count(*) FILTER (n_children = 0) AS leaves FROM u GROUP BY ALL)
+SELECT x.conv_id, CAST(x.d AS BIGINT) AS depth, a.conv_id AS parent_conv_id, x.n_convs, CAST(x.n_children AS BIGINT) AS n_children,
+       leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, x.ends AS ends_sha256
+FROM x JOIN s USING (node) LEFT JOIN n AS a ON x.d > 0 AND a.node = x.node[1 : x.d - 1]
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash": _OP1_SQL, "op2_exact_dedup": _OP2_SQL, "op4_substring_dedup": _OP4_SQL, "op5_licenses": _op5_sql(), "op7_exact_top_k": _OP7_SQL}
+    return {"op1_minhash": _OP1_SQL, "op2_exact_dedup": _OP2_SQL, "op4_substring_dedup": _OP4_SQL, "op5_licenses": _op5_sql(), "op7_exact_top_k": _OP7_SQL,
+            "op11_prefix_trie": _OP11_SQL}
