@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language, licenses, masked_lm, minhash, packing, pii, prefix_trie, substring, topk
+from . import bpe, collocations, exact_dedup, language, licenses, masked_lm, minhash, packing, pii, prefix_trie, substring, topk
 from .support import table
 
 
@@ -59,6 +59,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -181,6 +185,34 @@ FROM x JOIN s USING (node) LEFT JOIN n AS a ON x.d > 0 AND a.node = x.node[1 : x
 """
 
 
+_OP13_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p
+), g AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i : i + m - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m
+), f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 30),
+k AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+s AS (
+  SELECT k.lang, k.phrase, a, x.f AS l, y.f AS r, CAST((CAST(a AS HUGEINT) * 2000000) // (x.f + y.f) AS BIGINT) AS score, k
+  FROM k JOIN f AS x ON x.lang = k.lang AND x.phrase = array_to_string(w[1 : k], ' ')
+  JOIN f AS y ON y.lang = k.lang AND y.phrase = array_to_string(w[k + 1 :], ' ')
+), b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+i AS (
+  SELECT lang, a, unnest(flatten(list_transform(range(2, m), lambda z:
+    list_transform(range(1, m - z + 2), lambda j: array_to_string(w[j : j + z - 1], ' '))))) AS phrase FROM c WHERE m > 2
+), o AS (SELECT lang, phrase, max(a) AS longer FROM i GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM b JOIN n USING (lang) LEFT JOIN o USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a
+QUALIFY rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_minhash": _OP1_SQL, "op2_exact_dedup": _OP2_SQL, "op4_substring_dedup": _OP4_SQL, "op5_licenses": _op5_sql(), "op7_exact_top_k": _OP7_SQL,
-            "op11_prefix_trie": _OP11_SQL}
+            "op11_prefix_trie": _OP11_SQL, "op13_collocations": _OP13_SQL}
