@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, collocations, exact_dedup, language, licenses, masked_lm, minhash, packing, pii, prefix_trie, substring, topk
+from . import bpe, collocations, exact_dedup, language, licenses, masked_lm, minhash, packing, pii, prefix_trie, substring, suffix_dedup, topk
 from .support import table
 
 
@@ -59,6 +59,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -185,6 +189,26 @@ FROM x JOIN s USING (node) LEFT JOIN n AS a ON x.d > 0 AND a.node = x.node[1 : x
 """
 
 
+_OP12_SQL = """
+WITH d AS (SELECT row_number() OVER () AS i, doc_id, hex(encode(coalesce("text", ''))) AS h FROM documents),
+w AS (SELECT i, unnest(range(0, strlen(h) // 2 - 399)) AS p, h FROM d WHERE strlen(h) >= 800),
+m AS (SELECT i, p, md5(substring(h, 2 * p + 1, 800)) AS k FROM w),
+r AS (SELECT i, p FROM m JOIN (SELECT k FROM m GROUP BY k HAVING count(*) > 1) USING (k)),
+g AS (SELECT i, p, CASE WHEN p - lag(p) OVER (PARTITION BY i ORDER BY p) <= 400 THEN 0 ELSE 1 END AS new FROM r),
+s AS (SELECT i, p, sum(new) OVER (PARTITION BY i ORDER BY p) AS span FROM g),
+t AS (SELECT i, min(p) AS low, max(p) + 400 AS high FROM s GROUP BY i, span),
+b AS (SELECT *, coalesce(lag(high) OVER (PARTITION BY i ORDER BY low), 0) AS after FROM t),
+k AS (
+  SELECT i, sum(high - low) AS n_removed, count(*) AS n_spans, max(high) AS last_high,
+         string_agg(substring(h, 2 * after + 1, 2 * (low - after)), '' ORDER BY low) AS kept
+  FROM b JOIN d USING (i) GROUP BY i
+)
+SELECT doc_id, CAST(strlen(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE kept || substring(h, 2 * last_high + 1) END)) AS kept_sha256
+FROM d LEFT JOIN k USING (i)
+"""
+
 _OP13_SQL = r"""
 WITH p AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
@@ -215,4 +239,4 @@ QUALIFY rank <= 2000
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_minhash": _OP1_SQL, "op2_exact_dedup": _OP2_SQL, "op4_substring_dedup": _OP4_SQL, "op5_licenses": _op5_sql(), "op7_exact_top_k": _OP7_SQL,
-            "op11_prefix_trie": _OP11_SQL, "op13_collocations": _OP13_SQL}
+            "op11_prefix_trie": _OP11_SQL, "op12_suffix_dedup": _OP12_SQL, "op13_collocations": _OP13_SQL}
