@@ -26,22 +26,42 @@ from pyspark.sql import functions as F
 
 from fleetmeter.session import spill_to_table
 
-from .support import _BYTE, SpanHasher, joined_small, picked, text_bytes
+from .support import _BYTE, joined_small, mixed, picked, text_bytes
 
 #: Bytes of an anchor.
 ANCHOR = 128
 #: Target bytes of a bucket; bytes of one key from which it is split; windows of a piece at each level of splitting.
-BUCKET_BYTES, HOT_BYTES, STEPS = 512 * 1024, 4 * 1024 * 1024, (16, 1)
+BUCKET_BYTES, HOT_BYTES, STEPS = 1024 * 1024, 4 * 1024 * 1024, (16, 1)
 #: Bytes of distinct strings that a task holds before it sends them on.
 HELD_BYTES = 32 * 1024 * 1024
 
 _BLOCK = 2**20
+_BASE = 0x9E3779B97F4A7C15
 _SYMBOL_BITS, _PACKED = 9, 7
 _STRINGS = "key long, name binary, owner binary, at long, n int, anchor int, times int, bytes binary"
 _STRING_SCHEMA = pa.schema([("key", pa.int64()), ("name", pa.binary()), ("owner", pa.binary()), ("at", pa.int64()), ("n", pa.int32()),
                             ("anchor", pa.int32()), ("times", pa.int32()), ("bytes", pa.binary())])
 
 
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base and of its inverse modulo 2**64."""
+    found = []
+    for base in (_BASE, pow(_BASE, -1, 2**64)):
+        step = np.full(_BLOCK, base, np.uint64)
+        step[0] = 1
+        found.append(np.multiply.accumulate(step))
+    return found[0], found[1]
+
+
+def _gram_hashes(data: np.ndarray, powers: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Hash of the ANCHOR bytes at each place. It only deals strings out: grams that share a hash meet and are told apart by
+    their bytes."""
+    n = len(data) - ANCHOR + 1
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * powers[0][: len(data)], out=sums[1:])
+    return mixed((sums[ANCHOR:] - sums[:n]) * powers[1][:n])
+
+
 def _sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
     """The least of each run of ``width`` values."""
     n = len(keys) - width + 1
@@ -70,15 +90,16 @@ def _blocks(offsets: np.ndarray, window: int) -> Iterator[tuple[int, int]]:
 def anchored(data: np.ndarray, offsets: np.ndarray, window: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Strings of neighbouring windows with one anchor over texts that lie back to back, block by block:
     (key, place of the first window, number of windows, place of the anchor), places in data."""
-    hasher, width = SpanHasher(), window - ANCHOR + 1
+    width, powers = window - ANCHOR + 1, _powers()
     low = np.uint64(_BLOCK - 1)
     for begin, end in _blocks(offsets, window):
         piece = data[begin:end]
         if len(piece) < window:
             continue
-        starts = np.arange(len(piece) - ANCHOR + 1)
-        hashes = hasher(_BYTE[piece], starts, starts + ANCHOR)
-        anchor = (_sliding_least((hashes & ~low) | starts.astype(np.uint64), width) & low).astype(np.int64)
+        hashes = _gram_hashes(piece, powers)
+        keys = hashes & ~low
+        keys |= np.arange(len(hashes), dtype=np.uint64)
+        anchor = (_sliding_least(keys, width) & low).astype(np.int64)
         place = np.arange(len(anchor)) + begin
         inside = offsets[np.searchsorted(offsets, place, "right")] - place >= window
         new = inside.copy()
@@ -199,6 +220,37 @@ def suffix_array(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return whole, rank, packed
 
 
+class _Marks:
+    """Marked places, with one flag for 64 of them, so that the next mark is found without a pass over all."""
+
+    def __init__(self, marked: np.ndarray):
+        self.marked = np.concatenate((marked, np.ones(-len(marked) % 64 + 64, bool)))
+        self.some = self.marked.reshape(-1, 64).any(axis=1)
+
+    def add(self, places: np.ndarray) -> None:
+        self.marked[places] = True
+        self.some[places >> 6] = True
+
+    def _ahead(self, at: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distance to the first mark of the next ``reach`` places, and whether there is one."""
+        near = self.marked[np.minimum(at[:, None] + np.arange(1, reach + 1), len(self.marked) - 1)]
+        first = near.argmax(axis=1)
+        return first + 1, near[np.arange(len(at)), first]
+
+    def widths(self, at: np.ndarray) -> np.ndarray:
+        """Distance from each place to the next marked one; most are near."""
+        width, found = self._ahead(at, 8)
+        far = np.flatnonzero(~found)
+        if len(far):
+            width[far], found = self._ahead(at[far], 72)
+            far = far[~found]
+        if len(far):  # no mark up to 72 places on, so the first flagged block from there has it
+            blocks = np.flatnonzero(self.some)
+            block = blocks[np.searchsorted(blocks, (at[far] + 73) >> 6)] << 6
+            width[far] = block + self.marked[block[:, None] + np.arange(64)].argmax(axis=1) - at[far]
+        return width
+
+
 def boundaries(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(suffixes in order, whether each shares fewer than ``length`` symbols with the one before it)."""
     order, rank, packed = suffix_array(symbols)
@@ -210,15 +262,14 @@ def boundaries(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray
         shared += differ < (1 << (_SYMBOL_BITS * (_PACKED - j)))
     marked = np.ones(n + 1, bool)
     marked[1:n] = shared < min(_PACKED, length)
+    marks = _Marks(marked)
     back = np.where(order > 0, rank[order - 1], -1)  # the suffix one symbol longer
     before = np.where(order > 0, symbols[order - 1], 0)  # the transform
     new = np.flatnonzero(shared == _PACKED - 1) + 1
     for _ in range(_PACKED, length):
         if not len(new):
             break
-        ends = np.flatnonzero(marked)
-        stop = ends[np.searchsorted(ends, new, "right")]
-        width = stop - new
+        width = marks.widths(new)
         single = new[width == 1]
         wide, size = new[width > 1], width[width > 1]
         reach = back[single]
@@ -229,9 +280,9 @@ def boundaries(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray
             _, at = np.unique(kind, return_index=True)  # the first place of each symbol in each interval
             reach = np.concatenate((reach, back[flat[at]]))
         reach = reach[reach >= 0]
-        new = np.unique(reach[~marked[reach]])
-        marked[new] = True
-    return order, marked[:n]
+        new = reach[~marks.marked[reach]]  # distinct, as no two places lead to one
+        marks.add(new)
+    return order, marks.marked[:n]
 
 
 def repeated_windows(strings: list[bytes], times: np.ndarray, window: int) -> list[np.ndarray]:
