@@ -64,11 +64,14 @@ def _tally(condition: str) -> str:
 
 
 def _sum(value: str) -> str:
-    return f"sum(({value})::DECIMAL(38, 9))::DOUBLE"
+    """The double nearest to the total of whole multiples of 2**-62; NaN and infinities as in a plain sum."""
+    whole = f"sum(CASE WHEN isfinite({value}) THEN (({value}) * {2**62}::DOUBLE)::HUGEINT END)"
+    nearest = f"((({whole}) // {2**40})::DOUBLE * {2**40}::DOUBLE + (({whole}) % {2**40})::DOUBLE) / {2**62}::DOUBLE"
+    return f"CASE WHEN bool_and(isfinite({value})) THEN {nearest} ELSE sum({value}) END"
 
 
 def _avg(value: str) -> str:
-    return f"({_sum(value)} / nullif(count({value}), 0))"
+    return f"(({_sum(value)}) / nullif(count({value}), 0))"
 
 
 CTES: dict[str, str] = {

@@ -93,21 +93,21 @@ def _hourly_totals(staged_metrics: DataFrame) -> DataFrame:
     """
     util, memory, temp = F.col("gpu_util_pct"), F.col("memory_util_pct"), F.col("temp_celsius")
     per_gpu = staged_metrics.groupBy(*UTILIZATION_GRAIN, "node_id", "gpu_id").agg(
-        S.exact_total(util).alias("util_sum"), F.count(util).alias("util_n"), F.max(util).alias("util_max"),
-        S.exact_total(memory).alias("memory_sum"), F.count(memory).alias("memory_n"), F.max(memory).alias("memory_max"),
-        S.exact_total(temp).alias("temp_sum"), F.count(temp).alias("temp_n"), F.max(temp).alias("temp_max"),
-        S.exact_total(F.col("power_watts")).alias("power"),
+        S.exact_parts(util).alias("util_sum"), F.count(util).alias("util_n"), F.max(util).alias("util_max"),
+        S.exact_parts(memory).alias("memory_sum"), F.count(memory).alias("memory_n"), F.max(memory).alias("memory_max"),
+        S.exact_parts(temp).alias("temp_sum"), F.count(temp).alias("temp_n"), F.max(temp).alias("temp_max"),
+        S.exact_parts(F.col("power_watts")).alias("power"),
         F.count_if(util > 90).alias("high"), F.count_if(util < 10).alias("idle"), F.count_if(temp > 85).alias("hot"),
     )
 
     def mean(name: str) -> Column:
-        return F.sum(f"{name}_sum").cast("double") / F.nullif(F.sum(f"{name}_n"), F.lit(0))
+        return S.parts_total(S.merged_parts(F.col(f"{name}_sum"))) / F.nullif(F.sum(f"{name}_n"), F.lit(0))
 
     return per_gpu.groupBy(*UTILIZATION_GRAIN).agg(
         mean("util").alias("avg_gpu_util_pct"), F.max("util_max").alias("max_gpu_util_pct"),
         mean("memory").alias("avg_memory_util_pct"), F.max("memory_max").alias("max_memory_util_pct"),
         mean("temp").alias("avg_temp_celsius"), F.max("temp_max").alias("max_temp_celsius"),
-        F.sum("power").cast("double").alias("power_watts"),
+        S.parts_total(S.merged_parts(F.col("power"))).alias("power_watts"),
         F.count_distinct("node_id").alias("active_nodes"), F.count_distinct("gpu_id").alias("active_gpus"),
         F.sum("high").alias("high_util_gpu_count"), F.sum("idle").alias("idle_gpu_count"),
         F.sum("hot").alias("thermal_warning_count"),
@@ -131,7 +131,7 @@ def job_performance_sla(staged_inference: DataFrame, method: Method = "exact") -
         F.count_if("cache_hit").alias("cache_hit_requests"),
         S.exact_avg(F.col("latency_ms")).alias("avg_latency_ms"),
         F.max("latency_ms").alias("max_latency_ms"),
-        S.exact_avg(F.col("total_tokens")).alias("avg_tokens_per_request"),
+        (F.sum("total_tokens") / F.nullif(F.count("total_tokens"), F.lit(0))).alias("avg_tokens_per_request"),
         F.sum("total_tokens").alias("total_tokens"),
         S.exact_sum(F.col("cost_usd")).alias("total_cost_usd"),
         S.exact_avg(F.col("cost_usd")).alias("avg_cost_per_request"),

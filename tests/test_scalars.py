@@ -1,4 +1,7 @@
 import hashlib
+import math
+import random
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -74,12 +77,36 @@ def test_rates_and_labels(spark):
     assert got == [(0.3333, 0.6667, "high"), (None, 1.0, "medium"), (1.0, 0.0, "low"), (0.125, 0.875, None)]
 
 
-def test_decimal_sum_is_exact(spark):
-    df = spark.createDataFrame([(0.1,)] * 10 + [(None,)], "x double")
-    got = values(df.agg(S.exact_sum(F.col("x")).alias("s"), S.exact_avg(F.col("x")).alias("a")), "s", "a")
-    assert got == [(1.0, 0.1)]
-    nothing = df.filter("x is null").agg(S.exact_sum(F.col("x")).alias("s"), S.exact_avg(F.col("x")).alias("a"))
-    assert values(nothing, "s", "a") == [(None, None)]
+def exact(spark, x, partitions=3):
+    df = spark.createDataFrame([(v,) for v in x], "x double").repartition(partitions)
+    return values(df.agg(S.exact_sum(F.col("x")).alias("s"), S.exact_avg(F.col("x")).alias("a")), "s", "a")[0]
+
+
+def test_sum_is_nearest_to_the_exact_total(spark):
+    rng = random.Random(1)
+    kinds = [lambda: rng.gauss(0, 1), lambda: rng.uniform(-1, 1) * 10 ** rng.randint(-12, 15), lambda: 4e-10, lambda: round(rng.uniform(0, 100), 2),
+             lambda: -1e-7 * rng.random(), lambda: rng.choice([1e18, -1e18, 1.0, 1e-11]), lambda: rng.choice([1e15, -1e15]) + rng.random()]
+    for kind in kinds:
+        x = [kind() for _ in range(rng.randint(1, 400))]
+        nearest = float(sum(map(Fraction, x)))
+        assert {exact(spark, x, n) for n in (1, 16)} == {(nearest, nearest / len(x))}
+    assert exact(spark, [1e18, 3e-10, -1e18, -3e-10, None]) == (0.0, 0.0)
+
+
+def test_sum_of_special_values(spark):
+    inf, nan = math.inf, math.nan
+    assert exact(spark, [inf, 1.0]) == (inf, inf) and exact(spark, [-inf, 1e300]) == (-inf, -inf)
+    assert all(map(math.isnan, exact(spark, [nan, 1.0]) + exact(spark, [inf, -inf, 2.0])))
+    assert exact(spark, [None]) == (None, None) and exact(spark, [1e300, 1.0, None]) == (1e300, 5e299)
+
+
+def test_parts_of_groups_add_up(spark):
+    rng = random.Random(2)
+    rows = [(i % 3, i % 17, rng.uniform(-1, 1) * 10 ** rng.randint(-9, 9)) for i in range(500)]
+    df = spark.createDataFrame(rows, "g int, h int, x double")
+    inner = df.groupBy("g", "h").agg(S.exact_parts(F.col("x")).alias("p"))
+    got = {r.g: r.s for r in inner.groupBy("g").agg(S.parts_total(S.merged_parts(F.col("p"))).alias("s")).collect()}
+    assert got == {g: float(sum(Fraction(x) for h, _, x in rows if h == g)) for g in range(3)}
 
 
 def test_day_of_week_starts_on_sunday(spark):
