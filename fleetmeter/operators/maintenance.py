@@ -109,14 +109,14 @@ def compact_table(spark: SparkSession, path: str, cluster_by: Sequence[str], par
                   fmt: str = tables.DEFAULT_FORMAT, files: int | None = None) -> DataFrame:
     """Compact a stored table in place and return a fresh read of it.
 
-    Only partitions with too many files are rewritten. Their new layout is staged in the shared
-    scratch folder, then moved in partition by partition, so the others stay as they are and the
-    table never goes away. Partition values are handled as the text of their folder names.
+    Only partitions with too many files are rewritten, each moved in when all are complete (see
+    ``sources.tables``); the others stay as they are. Partition values are handled as the text of their folder names.
     """
     if fmt == "delta":
         keys = ", ".join(f"`{c}`" for c in cluster_by if c not in partition_by)
         spark.sql(f"OPTIMIZE delta.`{path}` ZORDER BY ({keys})")
         return tables.scan_table(spark, path, fmt)
+    tables.finish_replacement(spark, path)
     texts = T.StructType([T.StructField(c, T.StringType()) for c in partition_by])
     table = tables.scan_table(spark, path, fmt, texts)
     with scratch_scope(spark), sized_shuffles(table):
@@ -124,10 +124,8 @@ def compact_table(spark: SparkSession, path: str, cluster_by: Sequence[str], par
         needed = crowded.agg(F.sum("needed")).first()[0]
         if needed is not None:
             rows = tables.in_partitions(table, crowded.drop("needed"), partition_by) if partition_by else table
-            staged = spill_to_table(compact_zorder(rows, cluster_by, partition_by, files or needed), "compact")
-            mode = "dynamic" if partition_by else "static"
-            writer = staged.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", mode)
-            (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+            laid_out = compact_zorder(rows, cluster_by, partition_by, files or needed)
+            tables.replace_files(laid_out, path, partition_by, not partition_by, fmt)
     return tables.scan_table(spark, path, fmt)
 
 

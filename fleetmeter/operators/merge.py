@@ -168,6 +168,8 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str, on: Sequence
     finding them reads just the key and partition columns.
     """
     _check_updates(updates, partition_by)
+    if fmt != "delta":
+        tables.finish_replacement(spark, path)
     if overwrite or not tables.table_exists(spark, path, fmt):
         return tables.write_partitioned_overwrite(source, path, partition_by, fmt)
     if fmt == "delta":
@@ -191,6 +193,8 @@ def merge_completions_table(spark: SparkSession, path: str, completions: DataFra
                             as_of: datetime | None = None, partition_by: Sequence[str] = ("job_date",),
                             fmt: str = tables.DEFAULT_FORMAT) -> DataFrame | None:
     """Apply completions to the stored jobs table; does nothing while that table is absent."""
+    if fmt != "delta":
+        tables.finish_replacement(spark, path)
     if not tables.table_exists(spark, path, fmt):
         return None
     updates = completion_updates(as_of)

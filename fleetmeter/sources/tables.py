@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -11,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetmeter.functions.relational import any_null
-from fleetmeter.session import scratch_scope, spill_to_table
 
 DEFAULT_FORMAT = "parquet"
 
@@ -79,38 +80,132 @@ def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
 
 
+# ---------------------------------------------------------------- replacement that can be resumed
+#
+# New files are written beside the table, in their final layout. Once they are complete a marker names them all, and
+# only then are old files deleted and new ones renamed into place, partition by partition. Whoever writes to the table
+# next finishes a move whose marker is still there, so at every moment either the old rows or the new ones are all on disk.
+
+STAGED, MARKER = ".staged-", ".move"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path, and the constructor of its paths."""
+    to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return to_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), to_path
+
+
+def _files(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """Names of the data files below a folder, by partition folder; names that start with '_' or '.' are not data."""
+    fs, to_path = _hadoop(spark, root)
+    found: dict[str, list[str]] = {}
+    top = fs.makeQualified(to_path(root)).toUri().getPath().rstrip("/")
+    walk = fs.listFiles(to_path(root), True) if fs.exists(to_path(root)) else None
+    while walk is not None and walk.hasNext():
+        relative = walk.next().getPath().toUri().getPath()[len(top) + 1:]
+        folder, _, name = relative.rpartition("/")
+        if not any(part[:1] in "_." and "=" not in part for part in relative.split("/")):
+            found.setdefault(folder, []).append(name)
+    return found
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A file that appears whole or not at all."""
+    fs, to_path = _hadoop(spark, path)
+    out = fs.create(to_path(path + ".tmp"), True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    fs.delete(to_path(path), False)
+    if not fs.rename(to_path(path + ".tmp"), to_path(path)):
+        raise OSError(f"cannot create {path}")
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, to_path = _hadoop(spark, path)
+    if not fs.exists(to_path(path)):
+        return None
+    stream = fs.open(to_path(path))
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    fs, to_path = _hadoop(spark, source)
+    fs.mkdirs(to_path(target).getParent())
+    if not fs.rename(to_path(source), to_path(target)):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, to_path = _hadoop(spark, path)
+    fs.delete(to_path(path), True)
+
+
+def finish_replacement(spark: SparkSession, path: str) -> bool:
+    """Finish a replacement of the table that was broken off; whether there was one. Each step may be repeated."""
+    path = path.rstrip("/")
+    text = _read_text(spark, path + MARKER)
+    if text is None:
+        return False
+    plan = json.loads(text)
+    staged, new = plan["staged"], plan["files"]
+    waiting = _files(spark, staged)
+    for folder, names in _files(spark, path).items():
+        if folder in new or plan["whole"]:
+            for name in set(names) - set(new.get(folder, ())):
+                _delete(spark, "/".join(filter(None, (path, folder, name))))
+    for folder, names in waiting.items():
+        for name in names:
+            inner = "/".join(filter(None, (folder, name)))
+            _move(spark, f"{staged}/{inner}", f"{path}/{inner}")
+    _delete(spark, staged)
+    _delete(spark, path + MARKER)
+    return True
+
+
+def replace_files(df: DataFrame, path: str, partition_by: Sequence[str], whole: bool, fmt: str = DEFAULT_FORMAT) -> None:
+    """Write ``df`` as it is laid out and put it in the place of the table, or of the partitions it holds.
+
+    The plan may read the table. Tables of a format with a log of its own leave the move to it.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    writer = df.write.format(fmt)
+    writer = writer.partitionBy(*partition_by) if partition_by else writer
+    if fmt == "delta":
+        writer.mode("overwrite").option("partitionOverwriteMode", "static" if whole else "dynamic").save(path)
+        return
+    finish_replacement(spark, path)
+    staged = f"{path}{STAGED}{uuid.uuid4().hex}"
+    try:
+        writer.save(staged)
+    except Exception:
+        _delete(spark, staged)  # incomplete; the table is untouched
+        raise
+    _write_text(spark, path + MARKER, json.dumps({"staged": staged, "whole": whole, "files": _files(spark, staged)}))
+    finish_replacement(spark, path)
+
+
 def write_partitioned_overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                                 fmt: str = DEFAULT_FORMAT) -> DataFrame:
-    """Replace the whole table and return a fresh read of it. The plan must not read ``path``."""
-    writer = balanced(df, partition_by).write.format(fmt).mode("overwrite")
-    # A session set to dynamic overwrite would leave old partitions behind.
-    writer = writer.option("partitionOverwriteMode", "static")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    """Replace the whole table and return a fresh read of it. The plan may read the table."""
+    replace_files(balanced(df, partition_by), path, partition_by, True, fmt)
     return scan_table(df.sparkSession, path, fmt, partition_types(df, partition_by))
 
 
 def replace_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
-    """Replace a table from a plan that may read it: the result is staged first."""
-    with scratch_scope(df.sparkSession):
-        return write_partitioned_overwrite(spill_to_table(df, "replace"), path, (), fmt)
+    """Replace an unpartitioned table."""
+    return write_partitioned_overwrite(df, path, (), fmt)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
                        fmt: str = DEFAULT_FORMAT) -> DataFrame:
     """Replace exactly the partitions present in ``df``, which may be computed from the table.
 
-    The new content is staged in the shared scratch folder, then moved in with a dynamic
-    overwrite. The fresh read that is returned is the only valid handle on the table.
+    The fresh read that is returned is the only valid handle on the table.
     """
-    with scratch_scope(df.sparkSession):
-        (
-            balanced(spill_to_table(df, "replace"), partition_by)
-            .write.format(fmt)
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*partition_by)
-            .save(path)
-        )
+    replace_files(balanced(df, partition_by), path, partition_by, False, fmt)
     return scan_table(df.sparkSession, path, fmt, partition_types(df, partition_by))
