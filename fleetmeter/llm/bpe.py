@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .support import SpanHasher, filled, gathered, mixed, picked, text_bytes
+from .support import SpanHasher, filled, gathered, picked, text_bytes
 
 #: Code points that one numpy step encodes at a time (a longer text is cut between words).
 BLOCK_CHARS = 1_000_000
@@ -225,7 +225,7 @@ class Encoder:
         kind = self.v.kind[codes]
         start = word_starts(codes, kind)
         end = np.concatenate((start[1:], [len(codes)]))
-        hashes = self.hasher(mixed(codes.astype(np.uint64) + np.uint64(1)), start, end)
+        hashes = self.hasher(codes.astype(np.uint32) + np.uint32(1), start, end)
         distinct, at, which = np.unique(hashes, return_index=True, return_inverse=True)
         slot = self._slots(distinct, codes, start[at], end[at])[which]
         count = self.count[slot]

@@ -161,7 +161,8 @@ def identify(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
     without a letter is "und" with score 0, and so is every text if nothing could be learnt. Ties
     go to the language that sorts first. Repeated rows come out as often; a row without doc_id is
     predicted, neither held out nor learnt from. An empty table gives an empty result.
-    Returns doc_id, held_out, lang_pred, score (the cosine, not below 0, to six decimals) and row, a hash of the text.
+    Texts of any length count whole, cut into slices for the sums. Returns doc_id, held_out, lang_pred, score (the cosine, not
+    below 0, to six decimals), row, a hash of the text, and letters, whether it has any.
     """
     if dimensions % 64:
         raise ValueError("dimensions is a multiple of 64")
@@ -177,9 +178,10 @@ def identify(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiler = Profiler(dimensions)
         for batch in batches:
-            pred, score = [], []
+            pred, score, letters = [], [], []
             for _, bundles in _bundled(profiler, batch.column("text").to_pylist()):
                 norm = np.sqrt((bundles**2).sum(1))
+                letters += (norm > 0).tolist()
                 if names:
                     cosine = np.round(bundles @ matrix.T / np.where(norm, norm, 1)[:, None], 6)
                     best = cosine.argmax(1)
@@ -189,7 +191,7 @@ def identify(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
                     pred += [UNKNOWN] * len(bundles)
                     score += [0.0] * len(bundles)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(pred, pa.string()), pa.array(score, pa.float64()), batch.column("row")],
-                ["doc_id", "held_out", "lang_pred", "score", "row"])
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(pred, pa.string()), pa.array(score, pa.float64()), batch.column("row"), pa.array(letters, pa.bool_())],
+                ["doc_id", "held_out", "lang_pred", "score", "row", "letters"])
 
-    return rows.select("doc_id", "text", "held_out", "row").mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double, row long")
+    return rows.select("doc_id", "text", "held_out", "row").mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double, row long, letters boolean")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy step handles at a time (a longer text is cut between words).
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
 
 _HASH_BASE = 0x9E3779B97F4A7C15 | 1
 _MIX_1 = 0xBF58476D1CE4E5B9
@@ -52,39 +52,78 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+#: Span hashes are polynomials modulo this prime; modulo a power of two, some structured texts collide at every base.
+_PRIME = (1 << 61) - 1
+_P, _LOW30, _LOW31 = np.uint64(_PRIME), np.uint64((1 << 30) - 1), np.uint64((1 << 31) - 1)
+_30, _31, _61 = np.uint64(30), np.uint64(31), np.uint64(61)
+#: Symbols of up to 9 bits may be summed without reduction in stretches of this length.
+_PLAIN_SYMBOLS = 1 << 21
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo the prime."""
+    x = (x & _P) + (x >> _61)
+    return np.where(x >= _P, x - _P, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo the prime, both below it: 2**61 counts as 1, so halves of 30 and 31 bits stay within 64 bits."""
+    ah, al, bh, bl = a >> _31, a & _LOW31, b >> _31, b & _LOW31
+    middle = ah * bl + al * bh
+    return _reduced(((ah * bh) << np.uint64(1)) + (middle >> _30) + ((middle & _LOW30) << _31) + al * bl)
+
+
 class SpanHasher:
-    """64-bit hashes of spans of a symbol sequence from one cumulative sum.
+    """64-bit hashes of spans of a symbol sequence from cumulative sums.
 
-    A span's hash is a polynomial in its (scrambled) symbols at an odd base, modulo 2**64,
-    scrambled again together with its length; it depends on nothing outside the span.
+    A span's hash is a polynomial in its symbols at a fixed base, modulo 2**61 - 1, scrambled
+    together with its length; it depends on nothing outside the span.
     """
 
     def __init__(self, base: int = _HASH_BASE):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
+        self.base, self.inverse = base % _PRIME, pow(base, -1, _PRIME)
         self.up = self.down = np.ones(1, np.uint64)
 
     def _powers(self, n: int) -> None:
         if len(self.up) <= n:
             size = 1 << max(10, int(n).bit_length())
             for name, b in (("up", self.base), ("down", self.inverse)):
-                step = np.full(size, b, np.uint64)
-                step[0] = 1
-                setattr(self, name, np.multiply.accumulate(step))
+                step = np.ones(1, np.uint64)
+                while len(step) < size:
+                    step = np.concatenate((step, _times(step, np.uint64(pow(b, len(step), _PRIME)))))
+                setattr(self, name, step)
 
     def __call__(self, symbols: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """symbols: scrambled uint64; start, end: span bounds."""
-        self._powers(len(symbols))
-        sums = np.zeros(len(symbols) + 1, np.uint64)
-        np.cumsum(symbols * self.up[: len(symbols)], out=sums[1:])
-        return mixed((sums[end] - sums[start]) * self.down[start] + (end - start).astype(np.uint64))
+        """symbols: uint16 below 2**9, uint32 below 2**22, or uint64 of any size; start, end: span bounds."""
+        n = len(symbols)
+        self._powers(n)
+        up = self.up[:n]
+        kind, symbols = symbols.dtype, symbols.astype(np.uint64)
+        if kind == np.uint64:
+            terms = _times(_reduced(symbols), up)
+        else:
+            high, low = symbols * (up >> _31), symbols * (up & _LOW31)
+            if kind != np.uint16 or n > _PLAIN_SYMBOLS:
+                terms = _reduced(((high & _LOW30) << _31) + (high >> _30) + low)
+        if kind != np.uint16 or n > _PLAIN_SYMBOLS:
+            high, low = terms >> _31, terms & _LOW31
+        sums = []
+        for part in (high, low):
+            total = np.zeros(n + 1, np.uint64)
+            np.cumsum(part, out=total[1:])
+            sums.append(total[end] - total[start])
+        high, low = sums
+        value = _reduced(((high & _LOW30) << _31) + _reduced(high >> _30) + _reduced(low))
+        return mixed(_times(value, self.down[start]) + (end - start).astype(np.uint64) * np.uint64(_HASH_BASE))
 
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64))
+_PLAIN = np.arange(1, 257, dtype=np.uint16)
 _LOWER = np.arange(256)
 _LOWER[ord("A"): ord("Z") + 1] += 32
-_LOWER_BYTE = _BYTE[_LOWER]
+_LOWERED = _PLAIN[_LOWER]
 
 
 def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,7 +144,7 @@ def _cut(data: np.ndarray, at: int) -> int:
 
 def word_hashes(data: np.ndarray, hasher: SpanHasher, lower: bool) -> np.ndarray:
     """The hash of each word of one text given as bytes."""
-    values, out, at = _LOWER_BYTE if lower else _BYTE, [], 0
+    values, out, at = _LOWERED if lower else _PLAIN, [], 0
     while at < len(data):
         end = _cut(data, min(at + BLOCK_BYTES, len(data)))
         piece = data[at:end]
@@ -131,7 +170,7 @@ def document_words(batch: pa.RecordBatch, hasher: SpanHasher, lower: bool) -> It
     """(row, hashes of its words) for each row of a batch; short texts are hashed together."""
     data, offsets = text_bytes(batch.column("text"))
     n, row = len(offsets) - 1, 0
-    values = _LOWER_BYTE if lower else _BYTE
+    values = _LOWERED if lower else _PLAIN
     while row < n:
         stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + BLOCK_BYTES, "right")) - 1)
         if stop == row + 1:

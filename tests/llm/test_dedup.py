@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -150,3 +151,17 @@ def test_substring_dedup_of_random_overlaps(spark):
     assert sorted(map(tuple, got)) == sorted(removed(docs, 50))
     texts = substring.substring_dedup(odd(spark, [(i, t, None) for i, t in docs]), texts=True).collect()
     assert all(hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256 for r in texts)
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_words_of_equal_letter_patterns(spark, n):
+    """Thue-Morse words and their complements, which polynomials modulo a power of two can't tell apart."""
+    signs = [bin(i).count("1") % 2 for i in range(n)]
+    one, other = "".join("ab"[x] for x in signs), "".join("ba"[x] for x in signs)
+    words_of = [f"w{i}" for i in range(49)]
+    docs = [(1, " ".join([*words_of, one])), (2, " ".join([*words_of, other])), (3, f"{one} {one} {one}"), (4, f"{other} {other} {other}"),
+            (5, " ".join((one, other)[x] for x in signs)), (6, " ".join((other, one)[x] for x in signs))]
+    found = substring.substring_dedup(odd(spark, [(i, t, None) for i, t in docs])).collect()
+    assert sorted(map(tuple, found)) == sorted(removed(docs, 50))
+    near = {r.doc_id: r.component_id for r in minhash.near_duplicates(odd(spark, [(i, t, None) for i, t in docs]), 3, 85).collect()}
+    assert near == component_ids(docs, 3, 85)

@@ -52,7 +52,10 @@ def test_base_equals_the_plain_patterns(spark, texts):
 
 def test_long_runs_end(spark):
     texts = ["1 " * 100_000, "9" * 200_000, "a" * 300_000, "a." * 100_000 + "@", "+" + "(" * 200_000, "1." * 100_000]
-    assert [len(x) for x in own_base(spark, texts)] == [len(base(t)) for t in texts[:2]] + [0, 0, 0, len(base(texts[5]))]
+    # The plain patterns take quadratic time on these, so they are asked at 2,000 characters only.
+    assert [len(x) for x in own_base(spark, texts)] == [0, 0, 0, 0, 0, 25_000]
+    short = [t[:2000] for t in texts]
+    assert own_base(spark, short) == [base(t) for t in short]
 
 
 def numbered(n):

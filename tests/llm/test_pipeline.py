@@ -1,5 +1,3 @@
-from collections import defaultdict
-
 import public_tokenizers
 import pyarrow.parquet as pq
 from tokenizers import Tokenizer
@@ -25,13 +23,13 @@ def through(spark, docs, tmp_path):
 
 def kept_by_hand(rows):
     """(doc_id, text) that the first three stages keep."""
-    letters = [(i, t) for i, t, *_ in rows if i is not None and any(c.isalpha() for c in t or "")]
-    last = defaultdict(int)
+    letters = [(i, t) for i, t, *_ in rows if any(c.isalpha() for c in t or "")]
+    last = {}
     for i, t in letters:
-        last[t] = max(last[t], i)
-    distinct = sorted({(i, t) for i, t in letters if last[t] == i})
-    component = component_ids(distinct, pipeline.NEAR_WORDS, pipeline.NEAR_PERCENT)
-    return [(i, t) for i, t in distinct if component[i] == i]
+        last[t] = i if last.get(t) is None else max(last[t], i if i is not None else last[t])
+    distinct = sorted({(last[t], t) for _, t in letters}, key=lambda d: (d[0] is None, d[0] or 0, d[1]))
+    component = component_ids(list(enumerate(t for _, t in distinct)), pipeline.NEAR_WORDS, pipeline.NEAR_PERCENT)
+    return [d for k, d in enumerate(distinct) if component[k] == k]
 
 
 def tokens(docs):
@@ -44,12 +42,38 @@ def test_stages_on_odd_rows(spark, tmp_path):
     packed, sizes = through(spark, odd(spark, rows), tmp_path)
     kept = kept_by_hand(rows)
     assert sizes[2] == sizes[3] == len(kept)
-    cleaned = [(i, t.replace(f"me{i - 30}@there.org", "[EMAIL]") if i >= 30 else t) for i, t in kept]
+    cleaned = [(i, t.replace(f"me{i - 30}@there.org", "[EMAIL]") if (i or 0) >= 30 else t) for i, t in kept]
     assert {r.doc_id: r.doc_tokens for r in packed.collect()} == tokens(cleaned)
     after = {r.doc_id: r for r in spark.read.parquet(str(tmp_path / "pii")).collect()}
     assert all(after[i].text == t and after[i].n_chars == len(t) for i, t in cleaned)
 
 
+def test_rows_without_ids_or_labels_stay(spark, tmp_path):
+    """No label at all, rows without doc_id, and one doc_id with two texts, one of them a near copy."""
+    base = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, base, None), (5, base + " end", None), (5, "quite another text than the others here", None), (None, base + " last", None),
+            (None, "nobody knows where this came from, says me@there.org", None), (None, "nobody knows where this came from, says me@there.org", None),
+            (7, "12 34 !!", None), (None, "56 !", None), (9, "some text of its own", None), (None, "some text of its own", None)]
+    _, sizes = through(spark, odd(spark, rows), tmp_path)
+    assert sizes[:4] == [8, 6, 4, 4]
+    found = sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in spark.read.parquet(str(tmp_path / "pii")).collect())
+    assert found == [(False, 1, base), (False, 5, "quite another text than the others here"), (False, 9, "some text of its own"),
+                     (True, 0, "nobody knows where this came from, says [EMAIL]")]
+    packed = spark.read.parquet(str(tmp_path / "packing")).collect()
+    assert sum(r.length for r in packed) == sum(tokens(enumerate(t for *_, t in found)).values())
+
+
+def test_languages_to_keep(spark, monkeypatch):
+    rows = [(i, f"the house and the garden number {'abcdefgh'[i % 8]} of them", "en") for i in range(60)]
+    rows += [(100 + i, f"das haus und der garten nummer {'abcdefgh'[i % 8]} für alle", "de") for i in range(60)] + [(500, "你好世界你好", None), (501, "12", "en")]
+    docs = odd(spark, rows)
+    assert {r.doc_id for r in pipeline.known_language(spark, docs, "").collect()} == {i for i, *_ in rows} - {501}
+    monkeypatch.setattr(pipeline, "LEAST_SCORE", 0.3)
+    assert {r.doc_id for r in pipeline.known_language(spark, docs, "").collect()} == {i for i, *_ in rows} - {500, 501}
+    monkeypatch.setattr(pipeline, "LANGUAGES", ["de"])
+    assert {r.doc_id for r in pipeline.known_language(spark, docs, "").collect()} == set(range(100, 160))
+
+
 def test_no_documents(spark, tmp_path):
     assert through(spark, empty(spark), tmp_path)[1] == [0] * 5
 
@@ -58,13 +82,17 @@ def test_run_on_a_whole_table(spark):
     sf = "/root/testdata/sf0.001"
     table = pq.read_table(f"{sf}/documents.parquet").to_pylist()
     kept = dict(kept_by_hand([(r["doc_id"], r["text"], r["lang"]) for r in table]))
+    # Every character of a span goes, and what overlaps goes as one, under the name of its longest span.
     found = {r.doc_id: r.spans for r in pii.find_pii(spark.createDataFrame(list(kept.items()), "doc_id long, text string")).collect()}
     for i, spans in found.items():
-        text, last = kept[i], 0
-        parts = []
-        for start, end, kind in sorted((s.start, s.end, s.kind) for s in spans):
-            if start >= last:
-                parts += [text[last:start], f"[{pii.KINDS[kind].upper()}]"]
-                last = end
-        kept[i] = "".join(parts) + text[last:]
+        text, runs = kept[i], []
+        for x in sorted(spans, key=lambda x: (x.start, x.end)):
+            if runs and x.start < runs[-1][1]:
+                runs[-1] = (runs[-1][0], max(runs[-1][1], x.end), [*runs[-1][2], x])
+            else:
+                runs.append((x.start, x.end, [x]))
+        for start, end, inside in reversed(runs):
+            longest = max(inside, key=lambda x: x.end - x.start)
+            text = f"{text[:start]}[{pii.KINDS[longest.kind].upper()}]{text[end:]}"
+        kept[i] = text
     assert {r.doc_id: r.doc_tokens for r in pipeline.run(spark, sf).collect()} == tokens(kept.items())
