@@ -56,8 +56,8 @@ def mixed(h: np.ndarray) -> np.ndarray:
 _PRIME = (1 << 61) - 1
 _P, _LOW30, _LOW31 = np.uint64(_PRIME), np.uint64((1 << 30) - 1), np.uint64((1 << 31) - 1)
 _30, _31, _61 = np.uint64(30), np.uint64(31), np.uint64(61)
-#: Symbols of up to 9 bits may be summed without reduction in stretches of this length.
-_PLAIN_SYMBOLS = 1 << 21
+#: Symbols whose sum is below this may be weighted by 31-bit halves and summed without reduction.
+_PLAIN_SUM = 1 << 33
 
 
 def _reduced(x: np.ndarray) -> np.ndarray:
@@ -94,18 +94,18 @@ class SpanHasher:
                 setattr(self, name, step)
 
     def __call__(self, symbols: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """symbols: uint16 below 2**9, uint32 below 2**22, or uint64 of any size; start, end: span bounds."""
+        """symbols: uint64, or uint16 or uint32 below 2**22; start, end: span bounds."""
         n = len(symbols)
         self._powers(n)
         up = self.up[:n]
-        kind, symbols = symbols.dtype, symbols.astype(np.uint64)
-        if kind == np.uint64:
+        wide, symbols = symbols.dtype == np.uint64, symbols.astype(np.uint64)
+        if wide:
             terms = _times(_reduced(symbols), up)
         else:
             high, low = symbols * (up >> _31), symbols * (up & _LOW31)
-            if kind != np.uint16 or n > _PLAIN_SYMBOLS:
-                terms = _reduced(((high & _LOW30) << _31) + (high >> _30) + low)
-        if kind != np.uint16 or n > _PLAIN_SYMBOLS:
+            plain = int(symbols.sum()) < _PLAIN_SUM
+            terms = None if plain else _reduced(((high & _LOW30) << _31) + (high >> _30) + low)
+        if terms is not None:
             high, low = terms >> _31, terms & _LOW31
         sums = []
         for part in (high, low):
