@@ -587,7 +587,7 @@ def _quality() -> dict[str, str]:
     WHERE gpu_count - (CASE WHEN exit_code = 1 THEN 1 ELSE 0 END) < 1
     UNION ALL
     SELECT 'ended_not_after_start', count(*) FROM merged_jobs WHERE ended_at <= started_at""",
-        "promote_if_passed": "SELECT * FROM cost_attribution",
+        "promote_if_passed": _together("int_job_costs", "cost_attribution", "gpu_utilization_hourly", "job_performance_sla"),
         "promote_rejected": """
     SELECT 'not_null' AS expectation, 'org_id' AS column_name,
       count(CASE WHEN exit_code = 1 OR org_id IS NULL THEN 1 END) AS failing, false AS promoted

@@ -403,7 +403,7 @@ def _promoted(i: Inputs) -> DataFrame:
     silver = _stored_silver(i)
     checks = quality.silver_jobs_gate(tables.scan_table(i.spark, f"{silver}/jobs"))
     return quality.promote_if_passed(
-        checks, lambda: batch.materialize_gold(i.spark, silver, i.scratch("gold"), AS_OF)["cost_attribution"]
+        checks, lambda: _together(batch.materialize_gold(i.spark, silver, i.scratch("gold"), AS_OF))
     )
 
 
