@@ -1,18 +1,17 @@
 """Exact interpolated percentiles per group, for groups of any size.
 
 Spark's ``percentile`` keeps every distinct value of a group in one task's memory.
-``select_percentiles`` narrows in on the wanted ranks instead, in two passes over the data:
+``select_percentiles`` narrows in on the wanted ranks instead, by the leading bits of the values:
 
-1. count rows per (group, value bucket): a partial aggregate, so a hot group leaves each
+1. count rows per (group, first 22 bits): a partial aggregate, so a hot group leaves each
    task as at most one row per bucket; a running total over a group's buckets tells
    which buckets hold the wanted ranks;
-2. count exact values, but only of the rows in those buckets; a running total within each
-   bucket finds the values at the ranks.
+2. count exact values, but only of the rows in those buckets; running totals over the next 21
+   bits and then over the values that share all 43 find the values at the ranks.
 
-The bucket function only has to be monotone: it is logarithmic, 1/1024 of a natural-log
-unit wide. Both passes are column-pruned, and the whole is one lazy plan, the same at
-every size; the table of wanted buckets is small, and adaptive execution broadcasts it
-when its measured size allows.
+So no task ever orders more than 2**21 entries, however close the values of a group lie. Both passes
+over the data are column-pruned, and the whole is one lazy plan, the same at every size; the table
+of wanted buckets is small, and adaptive execution broadcasts it when its measured size allows.
 """
 
 from __future__ import annotations
@@ -24,7 +23,10 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS_PER_LOG_UNIT = 1024
+#: Bits below a bucket's number, and below that of a part of a bucket.
+BUCKET_BITS, PART_BITS = 42, 21
+
+_MANTISSA, _LEAST_NORMAL = 2.0**52, 2.0**-1022
 
 
 class Percentile(NamedTuple):
@@ -45,10 +47,29 @@ def approx_percentile_columns(value: str, wanted: Sequence[Percentile], accuracy
     ]
 
 
+def ordered_bits(v: Column) -> Column:
+    """A BIGINT in the order of the doubles, one for each: the bits of the magnitude, negated below zero. Both zeros are 0,
+    NaN sorts last, as it does in Spark."""
+    size = F.abs(v)
+    guess = F.least(F.greatest(F.floor(F.log2(size)), F.lit(-1022)), F.lit(1023))
+    scaled = size * F.pow(F.lit(2.0), -guess)  # exact; 1 to 2 unless the logarithm was rounded across a power of two
+    exponent = guess + F.when(scaled >= 2, 1).when(scaled < 1, -1).otherwise(0)
+    fraction = F.when(scaled >= 2, scaled / 2).when(scaled < 1, scaled * 2).otherwise(scaled) - 1
+    bits = (
+        F.when(size < _LEAST_NORMAL, (size * F.lit(2.0**537) * F.lit(2.0**537)).cast("long"))
+        .when(size == F.lit(float("inf")), F.lit(2047 * 2**52))
+        .otherwise((exponent + 1023) * F.lit(2**52) + (fraction * F.lit(_MANTISSA)).cast("long"))
+    )
+    return F.when(F.isnan(v), F.lit(2**63 - 1)).when(v < 0, -bits).otherwise(bits)
+
+
 def _bucket(v: Column) -> Column:
-    """Monotone in v; NaN sorts last, as it does in Spark."""
-    log = F.signum(v) * F.log1p(F.abs(v)) * BUCKETS_PER_LOG_UNIT
-    return F.when(F.isnan(v), F.lit(2**62)).otherwise(F.floor(F.least(F.greatest(log, F.lit(-1e9)), F.lit(1e9))))
+    return F.shiftright(ordered_bits(v), BUCKET_BITS)
+
+
+def _matched(rows: DataFrame, hit: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows with the targets of their bucket; those of other buckets leave."""
+    return rows.join(hit, reduce(lambda a, b: a & b, (rows[c].eqNullSafe(hit[f"_r_{c}"]) for c in on)))
 
 
 def _measures(wanted: Sequence[Percentile]) -> list[Column | None]:
@@ -124,9 +145,14 @@ def select_percentiles(df: DataFrame, keys: Sequence[str], value: str, wanted: S
         buckets.withColumn("_totals", F.array(*totals)).withColumn("_targets", F.array(*targets)).drop("_totals")
     )
     hit = hit.select(*(F.col(c).alias(f"_r_{c}") for c in [*keys, "_b"]), "_targets")
-    same = reduce(lambda a, b: a & b, (rows[c].eqNullSafe(hit[f"_r_{c}"]) for c in [*keys, "_b"]))
-    values = rows.join(hit, same).groupBy(*keys, "_b", "_v").agg(counted, F.any_value("_targets").alias("_targets"))
-    found = _keep_hits(_running(values, [*keys, "_b"], "_v", n)).select(*keys, "_v", F.inline("_targets"))
+    values = _matched(rows, hit, [*keys, "_b"]).groupBy(*keys, "_b", "_v").agg(counted, F.any_value("_targets").alias("_targets"))
+    values = values.withColumn("_part", F.shiftright(ordered_bits(F.col("_v")), PART_BITS))
+    summed = F.array(*(F.sum(F.col("_n")[m]) for m in range(n))).alias("_n")
+    parts = values.groupBy(*keys, "_b", "_part").agg(summed, F.any_value("_targets").alias("_targets"))
+    hit_part = _keep_hits(_running(parts, [*keys, "_b"], "_part", n)).drop("_b")
+    hit_part = hit_part.select(*(F.col(c).alias(f"_r_{c}") for c in [*keys, "_part"]), "_targets")
+    near = _matched(values.drop("_targets"), hit_part, [*keys, "_part"])
+    found = _keep_hits(_running(near, [*keys, "_part"], "_v", n)).select(*keys, "_v", F.inline("_targets"))
 
     columns = []
     for i, p in enumerate(wanted):

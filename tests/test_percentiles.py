@@ -1,11 +1,14 @@
 import math
 import random
+import struct
 
 import numpy as np
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from fleetmeter.functions import percentiles as P
 from fleetmeter.functions.percentiles import Percentile, approx_percentile_columns, select_percentiles
 
 
@@ -90,3 +93,30 @@ def test_sketch_returns_a_value_near_the_rank(spark):
     df = spark.range(1001).select(F.col("id").cast("double").alias("v"))
     row = df.agg(*approx_percentile_columns("v", [Percentile("p", 0.9), Percentile("q", 0.5, F.col("v") < 11)])).first()
     assert abs(row.p - 900) <= 1 and row.q == 5.0
+
+
+def test_bits_are_in_the_order_of_the_doubles(spark):
+    rng = random.Random(3)
+    values = {0.0, 5e-324, 2.0**-1022, math.nextafter(2.0**-1022, 0), 1.7976931348623157e308, math.inf}
+    for e in range(-1074, 1024):
+        x = math.ldexp(1.0, e)
+        values |= {x, math.nextafter(x, 0), math.nextafter(x, math.inf), x * rng.uniform(1, 2)}
+    values = {x for x in values if x <= math.inf} | {-x for x in values}
+    df = spark.createDataFrame([(x,) for x in values], "v double")
+    got = dict(df.select("v", P.ordered_bits(F.col("v"))).collect())
+    expected = {x: (1 if x >= 0 else -1) * struct.unpack("<q", struct.pack("<d", abs(x)))[0] for x in values}
+    assert got == expected
+    nan, null = (r[0] for r in spark.sql("SELECT double('NaN') AS v UNION ALL SELECT null").select(P.ordered_bits(F.col("v"))).collect())
+    assert nan == 2**63 - 1 and null is None
+
+
+def test_close_values_are_told_apart_in_small_parts(spark, monkeypatch):
+    """All values of a group share the first bits; parts of 2**10 values instead of 2**21 stand for a larger group."""
+    monkeypatch.setattr(P, "PART_BITS", 10)
+    base = 1000.0
+    values = [base + i * math.ulp(base) for i in random.Random(1).sample(range(2**18), 40_000)]
+    df = spark.createDataFrame([("a", v) for v in values] + [("b", -v) for v in values[:99]], "g string, v double").repartition(4)
+    wanted = [P.Percentile("p01", 0.01), P.Percentile("p50", 0.5), P.Percentile("p99", 0.99)]
+    got = {r.g: (r.p01, r.p50, r.p99) for r in P.select_percentiles(df, ["g"], "v", wanted).collect()}
+    exact = {r.g: tuple(r.p) for r in df.groupBy("g").agg(F.percentile("v", F.array(F.lit(0.01), F.lit(0.5), F.lit(0.99))).alias("p")).collect()}
+    assert got.keys() == exact.keys() and all(got[g] == pytest.approx(exact[g], rel=1e-15) for g in exact)
