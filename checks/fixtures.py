@@ -147,3 +147,13 @@ def envelope(d: Dialect, value: str) -> str:
     SELECT cast(({number} - {number} % 3) / 3 AS bigint) AS offset, cast({number} % 3 AS int) AS partition,
       timestamp + {d.secs('2')} AS timestamp, request_id AS key, {value} AS value
     FROM inference"""
+
+
+def job_lines(d: Dialect) -> str:
+    """Job events as JSON lines, some cut off, some with a word for a number, some no JSON at all."""
+    start = "chr(123), '\"job_id\": \"', job_id, '\", \"gpu_count\":'"  # 123 and 125 are the braces
+    return f"""
+    SELECT job_id, gpu_count, CASE gpu_count WHEN 64 THEN concat({start}) WHEN 16 THEN concat('lost ', job_id)
+        WHEN 32 THEN concat({start}, ' "many"', chr(125))
+        ELSE concat({start}, ' ', cast(gpu_count AS {d.text}), chr(125)) END AS line
+    FROM jobs_start"""

@@ -76,6 +76,7 @@ def _avg(value: str) -> str:
 
 CTES: dict[str, str] = {
     "jobs_start": X.jobs_start(X.DUCKDB),
+    "job_lines": X.job_lines(X.DUCKDB),
     "jobs_completion": X.jobs_completion(X.DUCKDB),
     "inference": X.inference(X.DUCKDB),
     "node_metrics": X.node_metrics(X.DUCKDB),
@@ -309,6 +310,10 @@ def _sources() -> dict[str, str]:
         "read_job_completions": "SELECT * FROM completions_bronze",
         "read_inference_logs": "SELECT * FROM inference_bronze",
         "read_node_metrics": "SELECT * FROM node_metrics",
+        "read_malformed": """
+    SELECT job_id, CASE WHEN gpu_count < 16 THEN gpu_count END AS gpu_count, NULL::VARCHAR AS text, NULL::BOOLEAN AS kept
+    FROM job_lines WHERE gpu_count NOT IN (16, 64)
+    UNION ALL SELECT NULL, NULL, line, gpu_count = 32 FROM job_lines WHERE gpu_count >= 16""",
         "scan_table": "SELECT * FROM events",
         "kafka_stream_source": "SELECT \"offset\", partition, timestamp, key FROM envelope",
         "write_partitioned_overwrite": "SELECT * FROM silver_jobs",

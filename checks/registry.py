@@ -181,6 +181,7 @@ def _builders() -> dict[str, Callable[[Inputs], DataFrame]]:
         "read_job_completions": lambda i: files.read_job_completions(i.spark, i.as_json(i.completions_bronze())),
         "read_inference_logs": lambda i: files.read_inference_logs(i.spark, i.as_json(i.inference_bronze())),
         "read_node_metrics": lambda i: files.read_node_metrics(i.spark, i.as_csv(i.node_metrics())),
+        "read_malformed": _checked_lines,
         "scan_table": lambda i: tables.scan_table(i.spark, f"{i.sf_dir}/events.parquet"),
         "kafka_stream_source": lambda i: i.drained(
             ingest.file_stream_source(i.spark, i.envelope_files()), "partition"
@@ -384,6 +385,16 @@ def _builders() -> dict[str, Callable[[Inputs], DataFrame]]:
     }
 
 
+def _checked_lines(i: Inputs) -> DataFrame:
+    """Both outputs of one parse of lines of which some are broken."""
+    path = i.scratch("lines")
+    i.derive(X.job_lines(X.SPARK), jobs_start=i.jobs_start()).select("line").write.text(path)
+    checked = files.read_checked(i.spark, path, files.JOB_EVENTS)
+    rows = files.readable(checked, files.JOB_EVENTS).select("job_id", "gpu_count")
+    aside = files.malformed(checked, files.JOB_EVENTS).select("text", "kept")
+    return rows.unionByName(aside, allowMissingColumns=True)
+
+
 def _stored_silver(i: Inputs) -> str:
     root = i.scratch("silver")
     for df, name, day in (

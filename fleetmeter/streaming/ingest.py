@@ -57,6 +57,24 @@ def parse_stream_payload(envelope: DataFrame) -> DataFrame:
     ).select("kafka_offset", "kafka_partition", "kafka_timestamp", "message.*")
 
 
+def malformed_messages(envelope: DataFrame) -> DataFrame:
+    """Position and text of messages that hold no request: no value, or one that is not the record's JSON.
+
+    ``kept`` says whether a request_id could be read. For batches and, with a sink and checkpoint of its own, streams.
+    """
+    schema = f"{schemas.INFERENCE_MESSAGE}, _malformed STRING"
+    parsed = envelope.select(
+        F.col("offset").alias("kafka_offset"),
+        F.col("partition").alias("kafka_partition"),
+        F.col("timestamp").alias("kafka_timestamp"),
+        F.col("value").cast("string").alias("text"),
+    ).withColumn("message", F.from_json("text", schema, {"columnNameOfCorruptRecord": "_malformed"}))
+    empty = F.col("text").isNull() | (F.trim("text") == "")
+    return parsed.filter(empty | F.col("message._malformed").isNotNull()).select(
+        "kafka_offset", "kafka_partition", "kafka_timestamp", "text", F.col("message.request_id").isNotNull().alias("kept")
+    )
+
+
 def event_time_watermark(messages: DataFrame, delay: str = WATERMARK) -> DataFrame:
     return messages.withWatermark("timestamp", delay)
 
