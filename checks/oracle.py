@@ -392,6 +392,7 @@ def _upserts() -> dict[str, str]:
     return {
         "upsert_merge": _upsert_jobs(),
         "upsert_jobs": _upsert_jobs(),
+        "upsert_key_filters": _upsert_jobs(),
         "upsert_inference": _with_upsert(
             "silver_inference", key=["request_id"], ts="timestamp", old_until="2024-01-20 00:00:00",
             new_from="2024-01-15 00:00:00", merged=dict.fromkeys(["status_code", "latency_ms", "cost_usd"], ""),
@@ -433,6 +434,12 @@ def _aggregates() -> dict[str, str]:
         round({_avg('high_util_rate')}, 4) AS avg_high_util_rate,
         sum(thermal_warning_count)::BIGINT AS total_thermal_warnings
       FROM gpu_utilization_hourly WHERE metric_date >= DATE '2024-01-05' - 7 GROUP BY ALL)""",
+        "active_over_days": """
+    SELECT gpu_type, gpu_tier, count(DISTINCT node_id) AS active_nodes, count(DISTINCT gpu_id) AS active_gpus
+    FROM stg_node_metrics WHERE metric_date >= DATE '2024-01-05' - 7 GROUP BY ALL""",
+        "stream_progress": """
+    SELECT partition AS kafka_partition, max("offset") AS kafka_offset, max(timestamp) AS _stream_ingested_at
+    FROM envelope GROUP BY ALL""",
         "dashboard_cost_summary": f"SELECT {COST_FIGURES} {RECENT_COST}",
         "dashboard_slo_summary": f"SELECT {SLO_FIGURES} {RECENT_SLA}",
         "dashboard_summary": f"SELECT 'last_7_days' AS period, c.*, s.* FROM (SELECT {COST_FIGURES} {RECENT_COST}) c, "
@@ -479,6 +486,8 @@ def _reads() -> dict[str, str]:
                                   "hour(timestamp)::INTEGER AS log_hour FROM inference",
         "inference_stream_ingest": f"{STREAM_ROWS}, i.timestamp::DATE AS log_date, "
                                    f"hour(i.timestamp)::INTEGER AS log_hour {STREAM_JOIN}",
+        "unique_requests": f"SELECT * EXCLUDE (kafka_offset) FROM ({STREAM_ROWS}, i.timestamp::DATE AS log_date, "
+                           f"hour(i.timestamp)::INTEGER AS log_hour {STREAM_JOIN})",
         **dict.fromkeys(
             ["rate_limited_micro_batch", "restart_exactly_once"],
             f"{STREAM_ROWS}, i.timestamp::DATE AS log_date, hour(i.timestamp)::INTEGER AS log_hour {STREAM_JOIN}",
@@ -601,6 +610,7 @@ def _quality() -> dict[str, str]:
     SELECT job_id, if(day(job_date) >= 15, exit_code + 1, exit_code) AS exit_code,
       lpad(day(job_date)::VARCHAR, 2, '0') AS p FROM silver_jobs WHERE job_date IS NOT NULL""",
         "materialize_gold": _together("int_job_costs", "cost_attribution", "gpu_utilization_hourly", "job_performance_sla"),
+        "refresh_gold": _together("int_job_costs", "cost_attribution", "gpu_utilization_hourly", "job_performance_sla"),
         "optimize_tables": _together(
             "cost_attribution", "gpu_utilization_hourly", "job_performance_sla", jobs="merged_jobs", inference="silver_inference"),
         "compact_zorder": "SELECT * FROM silver_inference",

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from checks import fixtures as X
 from fleetmeter import session
 from fleetmeter.functions import scalars as S
 from fleetmeter.operators import dedup, enrich, filters, maintenance, merge, quality
-from fleetmeter.plans import batch, marts, reads, staging
+from fleetmeter.plans import batch, incremental, marts, reads, staging
 from fleetmeter.sources import files, messages, tables
 from fleetmeter.streaming import health, ingest
 
@@ -272,6 +272,8 @@ def _builders() -> dict[str, Callable[[Inputs], DataFrame]]:
         "upsert_merge": lambda i: (lambda df, h: merge.upsert_merge(*h, merge.JOBS_KEY, merge.JOBS_UPDATES).drop(
             "_ingested_at"))(*_jobs_halves(i)),
         "upsert_jobs": lambda i: (lambda df, h: _upserted(i, df, h, merge.upsert_jobs))(*_jobs_halves(i)),
+        "upsert_key_filters": lambda i: (lambda df, h: _upserted(i, df, h, partial(merge.upsert_jobs, key_filters=True)))(
+            *_jobs_halves(i)),
         "upsert_inference": lambda i: (lambda df: _upserted(
             i, df,
             _upsert_halves(df, "timestamp", "2024-01-20 00:00:00", "2024-01-15 00:00:00",
@@ -293,6 +295,8 @@ def _builders() -> dict[str, Callable[[Inputs], DataFrame]]:
         "cost_by_org": _all_reads_of(cost, reads.cost_by_org, query_date=COST_DATE, days=3),
         "cost_by_model": _all_reads_of(cost, reads.cost_by_model, query_date=COST_DATE),
         "capacity_summary": _all_reads_of(util, reads.capacity_summary, as_of=CAPACITY_AS_OF),
+        "active_over_days": lambda i: reads.active_over_days(
+            marts.gpu_utilization_hourly(i.stg_node_metrics(), sketches=True), as_of=CAPACITY_AS_OF),
         "dashboard_cost_summary": _all_reads_of(cost, reads.dashboard_cost_summary, as_of=AS_OF),
         "dashboard_slo_summary": _all_reads_of(sla, reads.dashboard_slo_summary, as_of=AS_OF),
         "stream_freshness": lambda i: health.stream_freshness(i.stream_table(), FRESHNESS_AS_OF),
@@ -301,6 +305,7 @@ def _builders() -> dict[str, Callable[[Inputs], DataFrame]]:
             health.committed_offsets(i.stream_table().filter(col("log_date") < F.lit(COST_DATE))), 3_000,
         ),
         # order, limit, set operations
+        "stream_progress": _tracked,
         "order_cost_attribution": lambda i: marts.order_cost_attribution(cost(i)),
         "order_utilization": lambda i: marts.order_utilization(util(i)),
         "order_sla": lambda i: marts.order_sla(sla(i)),
@@ -329,6 +334,7 @@ def _builders() -> dict[str, Callable[[Inputs], DataFrame]]:
         "inference_stream_ingest": lambda i: i.drained(
             ingest.inference_stream(ingest.file_stream_source(i.spark, i.envelope_files(), max_files=2)), "log_date"
         ).drop("_stream_ingested_at"),
+        "unique_requests": _redelivered,
         "rate_limited_micro_batch": lambda i: _ingested(i, 1),
         "restart_exactly_once": lambda i: _ingested(i, 2),
         # data quality
@@ -376,6 +382,7 @@ def _builders() -> dict[str, Callable[[Inputs], DataFrame]]:
         "upsert_string_partitions": _upserted_by_text,
         # stored gold and maintenance
         "materialize_gold": lambda i: _together(_gold(i)),
+        "refresh_gold": _refreshed,
         "optimize_tables": _optimized,
         "compact_zorder": lambda i: maintenance.compact_table(
             i.spark,
@@ -395,10 +402,10 @@ def _checked_lines(i: Inputs) -> DataFrame:
     return rows.unionByName(aside, allowMissingColumns=True)
 
 
-def _stored_silver(i: Inputs) -> str:
+def _stored_silver(i: Inputs, jobs: DataFrame | None = None) -> str:
     root = i.scratch("silver")
     for df, name, day in (
-        (i.merged_jobs(), "jobs", "job_date"),
+        (i.merged_jobs() if jobs is None else jobs, "jobs", "job_date"),
         (i.silver_inference(), "inference", "log_date"),
         (i.silver_node_metrics(), "node_metrics", "metric_date"),
     ):
@@ -410,6 +417,15 @@ def _gold(i: Inputs) -> dict[str, DataFrame]:
     return batch.materialize_gold(i.spark, _stored_silver(i), i.scratch("gold"), AS_OF)
 
 
+def _refreshed(i: Inputs) -> DataFrame:
+    """Gold of jobs without completions, which then come in late."""
+    silver, gold = _stored_silver(i, i.silver_jobs()), i.scratch("gold")
+    incremental.refresh_gold(i.spark, silver, gold, AS_OF)
+    merge.merge_completions_table(i.spark, f"{silver}/jobs", i.completions(), AS_OF)
+    incremental.refresh_gold(i.spark, silver, gold, AS_OF)
+    return _together(incremental.stored_gold(i.spark, gold))
+
+
 def _promoted(i: Inputs) -> DataFrame:
     silver = _stored_silver(i)
     checks = quality.silver_jobs_gate(tables.scan_table(i.spark, f"{silver}/jobs"))
@@ -460,6 +476,25 @@ def _ingested(i: Inputs, starts: int) -> DataFrame:
     return tables.scan_table(i.spark, path).drop("_stream_ingested_at")
 
 
+def _redelivered(i: Inputs) -> DataFrame:
+    """Every message comes a second time, further on in its partition, in later files."""
+    source = i.scratch("envelope")
+    i.envelope().write.parquet(source)
+    i.envelope().withColumn("offset", F.col("offset") + 2**40).write.mode("append").parquet(source)
+    stream = ingest.file_stream_source(i.spark, source, max_files=4)
+    return i.drained(ingest.unique_requests(stream, within="1 day"), "log_date").drop("kafka_offset", "_stream_ingested_at")
+
+
+def _tracked(i: Inputs) -> DataFrame:
+    """The progress table after two runs, with files added in between."""
+    table, progress, checkpoint = i.scratch("stream-table"), i.scratch("progress"), i.scratch("progress-checkpoint")
+    rows = i.stream_table()
+    for part in (F.col("kafka_offset") % 2 == 0, F.col("kafka_offset") % 2 == 1):
+        rows.filter(part).write.mode("append").partitionBy("log_date").parquet(table)
+        health.track_progress(i.spark, table, progress, checkpoint).awaitTermination()
+    return health.read_progress(i.spark, progress)
+
+
 def _stored(i: Inputs, df: DataFrame, partition_by: list[str]) -> str:
     path = i.scratch("table")
     tables.write_partitioned_overwrite(df, path, partition_by)

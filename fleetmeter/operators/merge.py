@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fleetmeter.functions.relational import any_null, same_key
 from fleetmeter.session import as_of_column, scratch_scope, sized_shuffles, spill_to_table
-from fleetmeter.sources import tables
+from fleetmeter.sources import keyfilters, tables
 
 Updates = Mapping[str, str | Column]
 
@@ -160,14 +160,20 @@ def _check_updates(updates: Updates, partition_by: Sequence[str]) -> None:
 
 def upsert_table(spark: SparkSession, source: DataFrame, path: str, on: Sequence[str], updates: Updates,
                  partition_by: Sequence[str] = (), overwrite: bool = False,
-                 fmt: str = tables.DEFAULT_FORMAT) -> DataFrame:
+                 fmt: str = tables.DEFAULT_FORMAT, key_filters: bool = False) -> DataFrame:
     """Upsert into a stored table and return a fresh read of it.
 
     The first run, or ``overwrite``, writes the whole table. Otherwise only partitions
     that hold a matched row or receive a source row are read in full and rewritten;
-    finding them reads just the key and partition columns.
+    finding them reads just the key and partition columns. With ``key_filters`` each call leaves
+    a filter of the keys of every partition, and the next ones open key columns only where a
+    filter does not rule all delivered keys out (see ``sources.keyfilters``).
     """
     _check_updates(updates, partition_by)
+    if key_filters and partition_by and fmt == tables.DEFAULT_FORMAT:
+        upsert_table(spark, source, path, on, updates, partition_by, overwrite, fmt)
+        keyfilters.refresh(spark, path, on)
+        return tables.scan_table(spark, path, fmt, tables.partition_types(source, partition_by))
     if fmt != "delta":
         tables.finish_replacement(spark, path)
     if overwrite or not tables.table_exists(spark, path, fmt):
@@ -179,7 +185,8 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str, on: Sequence
         source = spill_to_table(source, "merge-source")
         if not partition_by:
             return tables.replace_table(upsert_merge(target, source, on, updates, stored=True), path, fmt)
-        hit = target.select(*dict.fromkeys([*on, *partition_by])).alias("t").join(
+        searched = keyfilters.narrowed(target, path, source, on)
+        hit = searched.select(*dict.fromkeys([*on, *partition_by])).alias("t").join(
             source.select(*on).alias("s"), same_key("t", "s", on), "left_semi"
         )
         touched = hit.select(*partition_by).union(source.select(*partition_by)).distinct()
@@ -191,8 +198,13 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str, on: Sequence
 
 def merge_completions_table(spark: SparkSession, path: str, completions: DataFrame,
                             as_of: datetime | None = None, partition_by: Sequence[str] = ("job_date",),
-                            fmt: str = tables.DEFAULT_FORMAT) -> DataFrame | None:
+                            fmt: str = tables.DEFAULT_FORMAT, key_filters: bool = False) -> DataFrame | None:
     """Apply completions to the stored jobs table; does nothing while that table is absent."""
+    if key_filters and partition_by and fmt == tables.DEFAULT_FORMAT:
+        if merge_completions_table(spark, path, completions, as_of, partition_by, fmt) is None:
+            return None
+        keyfilters.refresh(spark, path, JOBS_KEY)
+        return tables.scan_table(spark, path, fmt)
     if fmt != "delta":
         tables.finish_replacement(spark, path)
     if not tables.table_exists(spark, path, fmt):
@@ -207,7 +219,8 @@ def merge_completions_table(spark: SparkSession, path: str, completions: DataFra
         completions = spill_to_table(completions, "merge-source")
         if not partition_by:
             return tables.replace_table(merge_completions(jobs, completions, as_of, stored=True), path, fmt)
-        open_jobs = jobs.filter(F.col("ended_at").isNull()).select(*JOBS_KEY, *partition_by)
+        searched = keyfilters.narrowed(jobs, path, completions, JOBS_KEY)
+        open_jobs = searched.filter(F.col("ended_at").isNull()).select(*JOBS_KEY, *partition_by)
         touched = (
             open_jobs.alias("t")
             .join(completions.select(*JOBS_KEY).alias("s"), same_key("t", "s", JOBS_KEY), "left_semi")
@@ -235,15 +248,15 @@ def _delta_merge(spark: SparkSession, source: DataFrame, path: str, on: Sequence
 
 
 def upsert_jobs(spark: SparkSession, source: DataFrame, path: str, overwrite: bool = False,
-                fmt: str = tables.DEFAULT_FORMAT) -> DataFrame:
-    return upsert_table(spark, source, path, JOBS_KEY, JOBS_UPDATES, ["job_date"], overwrite, fmt)
+                fmt: str = tables.DEFAULT_FORMAT, key_filters: bool = False) -> DataFrame:
+    return upsert_table(spark, source, path, JOBS_KEY, JOBS_UPDATES, ["job_date"], overwrite, fmt, key_filters)
 
 
 def upsert_inference(spark: SparkSession, source: DataFrame, path: str, overwrite: bool = False,
-                     fmt: str = tables.DEFAULT_FORMAT) -> DataFrame:
-    return upsert_table(spark, source, path, INFERENCE_KEY, INFERENCE_UPDATES, ["log_date"], overwrite, fmt)
+                     fmt: str = tables.DEFAULT_FORMAT, key_filters: bool = False) -> DataFrame:
+    return upsert_table(spark, source, path, INFERENCE_KEY, INFERENCE_UPDATES, ["log_date"], overwrite, fmt, key_filters)
 
 
 def upsert_node_metrics(spark: SparkSession, source: DataFrame, path: str, overwrite: bool = False,
-                        fmt: str = tables.DEFAULT_FORMAT) -> DataFrame:
-    return upsert_table(spark, source, path, NODE_METRICS_KEY, NODE_METRICS_UPDATES, ["metric_date"], overwrite, fmt)
+                        fmt: str = tables.DEFAULT_FORMAT, key_filters: bool = False) -> DataFrame:
+    return upsert_table(spark, source, path, NODE_METRICS_KEY, NODE_METRICS_UPDATES, ["metric_date"], overwrite, fmt, key_filters)

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from fleetmeter import schemas
 from fleetmeter.operators import dedup, enrich, merge, quality
 from fleetmeter.operators.maintenance import optimize_tables
+from fleetmeter.plans import incremental as by_date
 from fleetmeter.plans import marts, staging
 from fleetmeter.session import scratch_scope, sized_shuffles, spill_to_table
 from fleetmeter.sources import files, tables
@@ -173,7 +174,7 @@ def _no_failures(tests: DataFrame) -> bool:
 
 def run_batch(spark: SparkSession, bronze: str, silver: str, gold: str, as_of: datetime | None = None,
               overwrite: bool = True, optimize: bool = True, fmt: str = tables.DEFAULT_FORMAT,
-              requests: DataFrame | None = None, quarantine: str | None = None) -> BatchResult:
+              requests: DataFrame | None = None, quarantine: str | None = None, incremental: bool = False) -> BatchResult:
     """Silver, gate, gold, column tests, compaction. A failed gate leaves gold untouched, and a
     failed test leaves all tables uncompacted. With a ``quarantine`` path malformed lines are set
     aside there, and the result has their number."""
@@ -185,7 +186,15 @@ def run_batch(spark: SparkSession, bronze: str, silver: str, gold: str, as_of: d
     stored = {n: tables.scan_table(spark, f"{silver}/{n}", fmt) for n in ("jobs", "inference")}
     checks = spill_to_table(quality.silver_jobs_gate(stored["jobs"]), "gate")
     silver_tests = spill_to_table(quality.run_column_tests(stored, quality.SILVER_TESTS), "silver-tests")
-    gold_tables = quality.promote_if_passed(checks, lambda: materialize_gold(spark, silver, gold, as_of, fmt))
+
+    def promote() -> dict[str, DataFrame]:
+        if not incremental or fmt != tables.DEFAULT_FORMAT:
+            return materialize_gold(spark, silver, gold, as_of, fmt)
+        staging_views(spark, silver, fmt)
+        by_date.refresh_gold(spark, silver, gold, as_of)
+        return by_date.stored_gold(spark, gold)
+
+    gold_tables = quality.promote_if_passed(checks, promote)
     if gold_tables is None:
         return BatchResult(counts, checks, False, silver_tests, None, bad)
     gold_tests = spill_to_table(quality.run_column_tests(gold_tables, quality.GOLD_TESTS), "gold-tests")

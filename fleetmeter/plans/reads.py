@@ -101,6 +101,22 @@ def capacity_summary(gpu_utilization: DataFrame, days: int = 7, as_of: datetime
     )
 
 
+def active_over_days(gpu_utilization: DataFrame, days: int = 7, as_of: datetime | None = None) -> DataFrame:
+    """Different nodes and GPUs per GPU type over a span, estimated from a mart with ``sketches``.
+
+    The standard error is 1.6 %; counts up to a few hundred are exact but for rare hash collisions.
+    """
+    P.check_days(days, 90)
+    recent = P.rolling_days_filter(gpu_utilization, "metric_date", days, as_of)
+
+    def different(sketch: str) -> Column:
+        return F.hll_sketch_estimate(F.hll_union_agg(sketch))
+
+    return recent.groupBy("gpu_type", "gpu_tier").agg(
+        different("node_sketch").alias("active_nodes"), different("gpu_sketch").alias("active_gpus")
+    ).orderBy(F.asc_nulls_last("gpu_type"), F.asc_nulls_last("gpu_tier"))
+
+
 def sla_by_model(sla: DataFrame, query_date: date | None = None, breaches_only: bool = False,
                  as_of: datetime | None = None) -> DataFrame:
     """One day's latency per model and region, breached ones first."""

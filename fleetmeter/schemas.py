@@ -29,3 +29,6 @@ NODE_METRIC = """
 
 # What a message queue delivers, and what a file stream must carry to stand in for one.
 STREAM_ENVELOPE = "offset BIGINT, partition INT, timestamp TIMESTAMP, key BINARY, value BINARY"
+
+# The columns of the stream table that tell how far it has come.
+STREAM_POSITION = "kafka_partition INT, kafka_offset BIGINT, _stream_ingested_at TIMESTAMP"

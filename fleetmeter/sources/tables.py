@@ -95,7 +95,7 @@ def _hadoop(spark: SparkSession, path: str):
     return to_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), to_path
 
 
-def _files(spark: SparkSession, root: str) -> dict[str, list[str]]:
+def data_files(spark: SparkSession, root: str) -> dict[str, list[str]]:
     """Names of the data files below a folder, by partition folder; names that start with '_' or '.' are not data."""
     fs, to_path = _hadoop(spark, root)
     found: dict[str, list[str]] = {}
@@ -109,7 +109,7 @@ def _files(spark: SparkSession, root: str) -> dict[str, list[str]]:
     return found
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
+def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A file that appears whole or not at all."""
     fs, to_path = _hadoop(spark, path)
     out = fs.create(to_path(path + ".tmp"), True)
@@ -122,7 +122,7 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"cannot create {path}")
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
+def read_text(spark: SparkSession, path: str) -> str | None:
     fs, to_path = _hadoop(spark, path)
     if not fs.exists(to_path(path)):
         return None
@@ -145,16 +145,35 @@ def _delete(spark: SparkSession, path: str) -> None:
     fs.delete(to_path(path), True)
 
 
+def folder_column(spark: SparkSession, path: str) -> Column:
+    """The partition folder of a scanned row, named as in ``data_files``."""
+    fs, to_path = _hadoop(spark, path)
+    top = fs.makeQualified(to_path(path)).toUri().getPath().rstrip("/") + "/"
+    # File paths are URI-encoded, where '+' stands for itself.
+    file_path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    inside = F.substring(file_path, F.instr(file_path, top) + len(top), F.length(file_path))
+    return F.regexp_replace(inside, "/?[^/]*$", "")
+
+
+def scan_folders(spark: SparkSession, path: str, folders: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
+    """Some partitions of a stored table, by folder; only their files are listed and read. With no
+    folders, no rows of the table's schema."""
+    schema = schema or scan_table(spark, path).schema
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*("/".join(filter(None, (path, f))) for f in folders))
+
+
 def finish_replacement(spark: SparkSession, path: str) -> bool:
     """Finish a replacement of the table that was broken off; whether there was one. Each step may be repeated."""
     path = path.rstrip("/")
-    text = _read_text(spark, path + MARKER)
+    text = read_text(spark, path + MARKER)
     if text is None:
         return False
     plan = json.loads(text)
     staged, new = plan["staged"], plan["files"]
-    waiting = _files(spark, staged)
-    for folder, names in _files(spark, path).items():
+    waiting = data_files(spark, staged)
+    for folder, names in data_files(spark, path).items():
         if folder in new or plan["whole"]:
             for name in set(names) - set(new.get(folder, ())):
                 _delete(spark, "/".join(filter(None, (path, folder, name))))
@@ -167,10 +186,12 @@ def finish_replacement(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def replace_files(df: DataFrame, path: str, partition_by: Sequence[str], whole: bool, fmt: str = DEFAULT_FORMAT) -> None:
+def replace_files(df: DataFrame, path: str, partition_by: Sequence[str], whole: bool, fmt: str = DEFAULT_FORMAT,
+                  clear: Sequence[str] = ()) -> None:
     """Write ``df`` as it is laid out and put it in the place of the table, or of the partitions it holds.
 
-    The plan may read the table. Tables of a format with a log of its own leave the move to it.
+    Partitions whose folders are in ``clear`` are emptied where ``df`` has no rows for them. The plan
+    may read the table. Tables of a format with a log of its own leave the move to it, without ``clear``.
     """
     spark, path = df.sparkSession, path.rstrip("/")
     writer = df.write.format(fmt)
@@ -185,7 +206,8 @@ def replace_files(df: DataFrame, path: str, partition_by: Sequence[str], whole:
     except Exception:
         _delete(spark, staged)  # incomplete; the table is untouched
         raise
-    _write_text(spark, path + MARKER, json.dumps({"staged": staged, "whole": whole, "files": _files(spark, staged)}))
+    write_text(spark, path + MARKER, json.dumps(
+        {"staged": staged, "whole": whole, "files": {f: [] for f in clear} | data_files(spark, staged)}))
     finish_replacement(spark, path)
 
 

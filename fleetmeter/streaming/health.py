@@ -1,19 +1,54 @@
-"""Freshness and lag of the stream, as one-row reports."""
+"""Freshness and lag of the stream, as one-row reports.
+
+Both take the stream table, which is scanned, or its progress: one row per queue partition, kept up to date by
+``track_progress`` from the files that were added since.
+"""
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
+from fleetmeter import schemas
 from fleetmeter.session import as_of_column
+from fleetmeter.sources import tables
+from fleetmeter.streaming.ingest import TRIGGER_INTERVAL
 
 # Alarm thresholds.
 STALE_AFTER_MINUTES = 10
 MAX_LAG_MESSAGES = 10_000
 
 
+def track_progress(spark: SparkSession, stream_path: str, progress_path: str, checkpoint: str,
+                   drain: bool = True) -> StreamingQuery:
+    """Fold the stream table's new files into the progress table, each file once.
+
+    The table's files are the input of a second stream, of which three columns are read; its state is a row per
+    queue partition. A batch that is repeated after a failure replaces the progress table by the same rows.
+    """
+
+    def replace(progress: DataFrame, _: int) -> None:
+        tables.replace_files(progress.coalesce(1), progress_path, [], whole=True)
+
+    rows = spark.readStream.schema(schemas.STREAM_POSITION).parquet(stream_path)
+    newest = rows.groupBy("kafka_partition").agg(
+        F.max("kafka_offset").alias("kafka_offset"), F.max("_stream_ingested_at").alias("_stream_ingested_at")
+    )
+    writer = newest.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(replace)
+    return writer.trigger(**({"availableNow": True} if drain else {"processingTime": TRIGGER_INTERVAL})).start()
+
+
+def read_progress(spark: SparkSession, progress_path: str) -> DataFrame:
+    """The progress table; empty while nothing was tracked. Takes the stream table's place in the reports below."""
+    if not tables.table_exists(spark, progress_path):
+        return spark.createDataFrame([], T.StructType.fromDDL(schemas.STREAM_POSITION))
+    return spark.read.schema(schemas.STREAM_POSITION).parquet(progress_path)
+
+
 def stream_freshness(stream_table: DataFrame, as_of: datetime | None = None,
                      stale_after: float = STALE_AFTER_MINUTES) -> DataFrame:
     """Minutes since the last write. An empty table gives NULLs: the stream has not started."""

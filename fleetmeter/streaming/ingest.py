@@ -1,7 +1,8 @@
 """Request messages into an append-only table.
 
-The plan is stateless, so its size per micro-batch is its input. The watermark is
+The default plan is stateless, so its size per micro-batch is its input. Its watermark is
 declared for consumers that aggregate; nothing here drops or holds back a late row.
+``unique_requests`` keeps recent request ids as state.
 """
 
 from __future__ import annotations
@@ -90,6 +91,21 @@ def inference_stream(envelope: DataFrame, as_of: datetime | None = None) -> Data
     return stream_date_hour_stamp(event_time_watermark(parse_stream_payload(envelope)), as_of)
 
 
+def unique_requests(envelope: DataFrame, as_of: datetime | None = None, within: str = WATERMARK) -> DataFrame:
+    """``inference_stream`` without messages that were delivered again.
+
+    Of messages with one request_id the first stays; a later one that arrives more than ``within`` after it is kept
+    as new. The watermark runs on the time of arrival, which only grows, so no row is late for it: requests of any
+    age are kept, and state holds the ids of the last ``within`` (and of one batch more). Messages without a
+    request_id are told apart by their place in the queue and all stay.
+    """
+    parsed = stream_date_hour_stamp(parse_stream_payload(envelope), as_of)
+    place = F.struct("kafka_partition", "kafka_offset")
+    named = parsed.withColumns({"_id": F.col("request_id"), "_place": F.when(F.col("request_id").isNull(), place)})
+    arrived = named.withWatermark("_stream_ingested_at", within)
+    return arrived.dropDuplicatesWithinWatermark(["_id", "_place"]).drop("_id", "_place")
+
+
 def stream_append_sink(rows: DataFrame, path: str, checkpoint: str, partition_by: str = "log_date",
                        fmt: str = "parquet", drain: bool = False) -> StreamingQuery:
     """Append micro-batches to a partitioned table; the checkpoint makes restarts exactly-once.
@@ -109,6 +125,10 @@ def stream_append_sink(rows: DataFrame, path: str, checkpoint: str, partition_by
 
 
 def inference_stream_ingest(envelope: DataFrame, path: str, checkpoint: str, as_of: datetime | None = None,
-                            fmt: str = "parquet", drain: bool = False) -> StreamingQuery:
-    """Source to sink."""
-    return stream_append_sink(inference_stream(envelope, as_of), path, checkpoint, fmt=fmt, drain=drain)
+                            fmt: str = "parquet", drain: bool = False, unique_within: str | None = None) -> StreamingQuery:
+    """Source to sink; with ``unique_within``, through ``unique_requests``. A checkpoint keeps to one of the two."""
+    if unique_within is None:
+        rows = inference_stream(envelope, as_of)
+    else:
+        rows = unique_requests(envelope, as_of, unique_within)
+    return stream_append_sink(rows, path, checkpoint, fmt=fmt, drain=drain)

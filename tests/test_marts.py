@@ -2,8 +2,9 @@ from datetime import date, datetime
 
 import pytest
 from conftest import NOW
+from pyspark.sql import functions as F
 from fleetmeter.operators import filters
-from fleetmeter.plans import marts, reads
+from fleetmeter.plans import marts, reads, staging
 
 COST_ROW = (
     "job_date date, org_id string, user_id string, model_arch string, gpu_tier string, gpu_type string, "
@@ -192,3 +193,19 @@ def test_date_filters_prune_partitions(spark, tmp_path):
 
 def test_top_n_is_not_a_full_sort(gold_sla):
     assert "TakeOrderedAndProject" in reads.top_slo_breaches(gold_sla, as_of=NOW)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sketches_count_over_days_and_leave_the_rest_alone(spark):
+    readings = spark.range(60_000).select(
+        (F.lit(NOW).cast("timestamp") - F.make_dt_interval(hours=(F.col("id") % 48).cast("int"))).alias("timestamp"),
+        F.concat(F.lit("n"), F.col("id") % 700).alias("node_id"), F.concat(F.lit("g"), F.col("id") % 20_011).alias("gpu_id"),
+        F.lit("r").alias("rack_id"), F.lit("A10G").alias("gpu_type"),
+        *(F.lit(1.0).alias(c) for c in ("gpu_util_pct", "memory_util_pct", "temp_celsius", "power_watts")))
+    staged = staging.stg_node_metrics(readings)
+    plain, sketched = marts.gpu_utilization_hourly(staged), marts.gpu_utilization_hourly(staged, sketches=True)
+    assert sketched.columns == [*plain.columns, *marts.SKETCHES]
+    assert sketched.select(plain.columns).exceptAll(plain).count() == 0
+    row = reads.active_over_days(sketched, 7, NOW).first()
+    # Three standard errors.
+    assert abs(row.active_nodes - 700) <= 0.05 * 700 and abs(row.active_gpus - 20_011) <= 0.05 * 20_011
+    assert reads.active_over_days(sketched.limit(0), 7, NOW).count() == 0

@@ -35,7 +35,7 @@ def break_at(monkeypatch, step, after):
 
 
 @pytest.mark.parametrize("partition_by", [["day"], []])
-@pytest.mark.parametrize("step,after", [("_write_text", 0), ("_read_text", 1), ("_delete", 0), ("_delete", 2), ("_move", 0), ("_move", 1)])
+@pytest.mark.parametrize("step,after", [("write_text", 0), ("read_text", 1), ("_delete", 0), ("_delete", 2), ("_move", 0), ("_move", 1)])
 def test_every_step_can_break(spark, tmp_path, monkeypatch, partition_by, step, after):
     if (step, after) == ("_move", 1) and not partition_by:
         pytest.skip("one file, one move")
@@ -48,7 +48,7 @@ def test_every_step_can_break(spark, tmp_path, monkeypatch, partition_by, step,
         with pytest.raises(RuntimeError):
             replace(frame(spark, NEW), path, partition_by)
     finished = tables.finish_replacement(spark, path)
-    assert finished == (step != "_write_text")
+    assert finished == (step != "write_text")
     assert rows(spark, path) == (expected if finished else sorted(OLD))
     if not finished:  # nothing had begun: the table is the old one, and the call can be made again
         replace(frame(spark, NEW), path, partition_by)

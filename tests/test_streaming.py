@@ -109,3 +109,44 @@ def test_lag(spark):
     assert tuple(health.consumer_lag(end, committed).first()) == (2, 14, False)
     assert health.consumer_lag(end, committed, max_lag=13).first().is_lagging is True
     assert tuple(health.consumer_lag(end.limit(0), committed).first()) == (0, 0, False)
+
+
+def test_messages_delivered_again_are_left_out_across_restarts(spark, tmp_path):
+    source, table, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+
+    def deliver(values, start, mode="append", as_of=NOW):
+        envelope(spark, values, start).write.mode(mode).parquet(source)
+        stream = ingest.file_stream_source(spark, source, max_files=1)
+        ingest.inference_stream_ingest(stream, table, checkpoint, as_of, drain=True, unique_within="1 hour").awaitTermination()
+        return sorted((r.request_id or "", r.kafka_offset) for r in spark.read.parquet(table).collect())
+
+    first = [message(1, "2024-01-10T12:00:00"), message(2, "2024-01-10T12:00:00"), message(1, "2024-01-10T12:00:00"), b"bad"]
+    got = deliver(first, 0)
+    assert [r for r, _ in got] == ["", "r1", "r2"]
+    # A new start of the query: two come again, one is years late, one has no id either.
+    second = [message(2, "2024-01-10T12:00:00"), message(3, "1999-01-01T00:00:00"), b"bad", message(1, "2024-01-10T12:00:00")]
+    got = deliver(second, 10)
+    assert [r for r, _ in got] == ["", "", "r1", "r2", "r3"] and ("", 12) in got and ("r3", 11) in got
+    # Long after, an id is new again. One batch moves the watermark, the next one finds the state gone.
+    deliver([message(4, "2024-01-10T12:00:00")], 20, as_of=NOW.replace(day=20))
+    got = deliver([message(2, "2024-01-10T12:00:00")], 30, as_of=NOW.replace(day=20))
+    assert [r for r, _ in got] == ["", "", "r1", "r2", "r2", "r3", "r4"]
+
+
+def test_progress_gives_the_reports_of_a_full_scan(spark, tmp_path):
+    source, table, checkpoint, progress, marks = (str(tmp_path / n) for n in ("in", "out", "cp", "progress", "marks"))
+    assert tuple(health.stream_freshness(health.read_progress(spark, progress), NOW).first()) == (None, None, None)
+    everything = envelope(spark, [message(i, "2024-01-10T12:00:00") for i in range(40)])
+    for n, start in enumerate((0, 12, 24)):
+        everything.filter(f"offset >= {start} AND offset < {start + 12}").write.mode("append").parquet(source)
+        ingest.inference_stream_ingest(ingest.file_stream_source(spark, source, max_files=1), table, checkpoint,
+                                       ago(minutes=30 - 10 * n), drain=True).awaitTermination()
+        query = health.track_progress(spark, table, progress, marks)
+        query.awaitTermination()
+        assert sum(p.numInputRows for p in query.recentProgress) == 12  # only what was added
+        scanned, tracked = spark.read.parquet(table), health.read_progress(spark, progress)
+        assert tracked.count() == 2 and len(tracked.inputFiles()) == 1
+        assert health.stream_freshness(scanned, NOW).first() == health.stream_freshness(tracked, NOW).first()
+        end = health.end_offsets(everything)
+        lags = [health.consumer_lag(end, health.committed_offsets(t)).first() for t in (scanned, tracked)]
+        assert lags[0] == lags[1] and lags[0].total_lag > 0
