@@ -58,6 +58,13 @@ def test_batch_end_to_end(spark, bronze, tmp_path):
     assert again.promoted and same_rows(tables.scan_table(spark, f"{gold}/cost_attribution"), i.cost())
 
 
+def test_batch_by_changed_dates(spark, bronze, tmp_path):
+    silver, gold = f"{tmp_path}/silver", f"{tmp_path}/gold"
+    result = batch.run_batch(spark, bronze, silver, gold, AS_OF, optimize=False, incremental=True)
+    assert result.promoted and spark.table("stg_jobs").count() == result.counts["jobs"]
+    assert same_rows(tables.scan_table(spark, f"{gold}/cost_attribution"), Inputs(spark, DATA).cost())
+
+
 def test_failed_gate_leaves_gold_alone(spark, bronze, tmp_path, monkeypatch):
     monkeypatch.setattr(batch.quality, "SILVER_JOBS_SUITE", [batch.quality.expect_row_count_between(10**9)])
     result = batch.run_batch(spark, bronze, f"{tmp_path}/silver", f"{tmp_path}/gold", AS_OF)
