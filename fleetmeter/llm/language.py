@@ -87,6 +87,10 @@ class Profiler:
 
     def bundles(self, texts: list[str]) -> np.ndarray:
         """One row per text; sums of whole numbers, exact in doubles."""
+        return self.measured(texts)[0]
+
+    def measured(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The bundles, and the number of n-grams of each text."""
         out = np.zeros((len(texts), self.dimensions))
         owner, key = self.grams(texts)
         if len(key):
@@ -96,7 +100,7 @@ class Profiler:
                 width = min(8192, len(keys) - at)
                 counts = np.bincount(owner[part] * width + which[part] - at, minlength=len(texts) * width)
                 out += counts.reshape(len(texts), width).astype(np.float32) @ self.vectors_of(keys[at: at + 8192]).astype(np.float32)
-        return out
+        return out, np.bincount(owner, minlength=len(texts))
 
 
 def _groups(texts: list[str], size: int = BLOCK_CHARS) -> Iterator[tuple[int, int]]:
@@ -121,14 +125,15 @@ def _slices(text: str) -> list[str]:
     return [*out, text[at:]]
 
 
-def _bundled(profiler: Profiler, texts: list[str]) -> Iterator[tuple[int, np.ndarray]]:
-    """(number of the first text, bundles) group by group."""
+def _bundled(profiler: Profiler, texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(number of the first text, bundles, numbers of n-grams) group by group."""
     for start, end in _groups(texts):
         group = texts[start:end]
         if len(group) == 1:
-            yield start, sum(profiler.bundles([part]) for part in _slices(group[0]))
+            parts = [profiler.measured([part]) for part in _slices(group[0])]
+            yield start, sum(b for b, _ in parts), sum(n for _, n in parts)
         else:
-            yield start, profiler.bundles(group)
+            yield start, *profiler.measured(group)
 
 
 def learn(labelled: DataFrame, dimensions: int = DIMENSIONS) -> dict[str, np.ndarray]:
@@ -137,7 +142,7 @@ def learn(labelled: DataFrame, dimensions: int = DIMENSIONS) -> dict[str, np.nda
         profiler, sums = Profiler(dimensions), {}
         for batch in batches:
             langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
-            for start, bundles in _bundled(profiler, texts):
+            for start, bundles, _ in _bundled(profiler, texts):
                 of = np.array(langs[start: start + len(bundles)], object)
                 for lang in set(of):
                     sums[lang] = sums.get(lang, 0) + bundles[of == lang].sum(0)
@@ -162,7 +167,8 @@ def identify(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
     go to the language that sorts first. Repeated rows come out as often; a row without doc_id is
     predicted, neither held out nor learnt from. An empty table gives an empty result.
     Texts of any length count whole, cut into slices for the sums. Returns doc_id, held_out, lang_pred, score (the cosine, not
-    below 0, to six decimals), row, a hash of the text, and letters, whether it has any.
+    below 0, to six decimals), row, a hash of the text, letters, whether it has any,
+    and grams, the number of its letter n-grams.
     """
     if dimensions % 64:
         raise ValueError("dimensions is a multiple of 64")
@@ -178,10 +184,11 @@ def identify(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiler = Profiler(dimensions)
         for batch in batches:
-            pred, score, letters = [], [], []
-            for _, bundles in _bundled(profiler, batch.column("text").to_pylist()):
+            pred, score, letters, grams = [], [], [], []
+            for _, bundles, sizes in _bundled(profiler, batch.column("text").to_pylist()):
                 norm = np.sqrt((bundles**2).sum(1))
                 letters += (norm > 0).tolist()
+                grams += sizes.tolist()
                 if names:
                     cosine = np.round(bundles @ matrix.T / np.where(norm, norm, 1)[:, None], 6)
                     best = cosine.argmax(1)
@@ -191,7 +198,7 @@ def identify(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
                     pred += [UNKNOWN] * len(bundles)
                     score += [0.0] * len(bundles)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(pred, pa.string()), pa.array(score, pa.float64()), batch.column("row"), pa.array(letters, pa.bool_())],
-                ["doc_id", "held_out", "lang_pred", "score", "row", "letters"])
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(pred, pa.string()), pa.array(score, pa.float64()), batch.column("row"), pa.array(letters, pa.bool_()), pa.array(grams, pa.int64())],
+                ["doc_id", "held_out", "lang_pred", "score", "row", "letters", "grams"])
 
-    return rows.select("doc_id", "text", "held_out", "row").mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double, row long, letters boolean")
+    return rows.select("doc_id", "text", "held_out", "row").mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double, row long, letters boolean, grams long")

@@ -74,6 +74,18 @@ def test_languages_to_keep(spark, monkeypatch):
     assert {r.doc_id for r in pipeline.known_language(spark, docs, "").collect()} == set(range(100, 160))
 
 
+def test_long_texts_in_no_learnt_language_go(spark):
+    rows = [(i, f"the house and the garden number {'abcdefgh'[i % 8]} of them", "en") for i in range(120)]
+    chinese = "".join(chr(0x4E00 + i * 37 % 5000) for i in range(400))
+    rows += [(500, chinese, None), (501, "你好世界你好", None), (502, chinese, "zh"), (None, chinese + "。", None), (503, "the house and the garden of them " * 20, None)]
+    kept = {(r.doc_id, r.text) for r in pipeline.known_language(spark, odd(spark, [r for r in rows if r[0] != 502]), "").collect()}
+    assert kept == {(i, t) for i, t, _ in rows if i not in (500, 502, None)}
+    taught = [*rows, *((i, chinese, "zh") for i in range(600, 640))]
+    assert {500, 502, 503} <= {r.doc_id for r in pipeline.known_language(spark, odd(spark, taught), "").collect()}
+    few = [r for r in rows if (r[0] or 500) >= 500 or r[0] < 20]
+    assert pipeline.known_language(spark, odd(spark, few), "").count() == len(few)
+
+
 def test_no_documents(spark, tmp_path):
     assert through(spark, empty(spark), tmp_path)[1] == [0] * 5
 
