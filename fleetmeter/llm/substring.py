@@ -31,6 +31,8 @@ from .support import SpanHasher, document_chunks, joined_small, picked, text_byt
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 #: Input bytes per hash bucket.
 BUCKET_BYTES = 4 * 1024 * 1024
+#: Words of a chunk. Where all documents share their windows, a task holds some 300 bytes for each word.
+CHUNK_WORDS = 400_000
 
 _MESSAGE = "bucket long, settled boolean, base long, hash binary, proof binary, doc binary, place binary"
 _SECOND_BASE = 0xC2B2AE3D27D4EB4F
@@ -81,7 +83,7 @@ def _anchors(window: int, buckets: int):
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = SpanHasher()
-        for ids, _, words, at in document_chunks(batches, lower=False):
+        for ids, _, words, at in document_chunks(batches, lower=False, most=CHUNK_WORDS):
             size = np.diff(at)
             place = np.arange(len(words)) - np.repeat(at[:-1], size)
             of_doc = np.repeat(np.arange(len(ids)), size)
@@ -120,7 +122,7 @@ def _shared(rows: pd.DataFrame) -> pd.DataFrame:
 def _windows(window: int, buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, second = SpanHasher(), SpanHasher(_SECOND_BASE)
-        for ids, anchors, words, at in document_chunks(batches, lower=False, extra="places"):
+        for ids, anchors, words, at in document_chunks(batches, lower=False, extra="places", most=CHUNK_WORDS):
             size = np.diff(at)
             # Window starts from which an anchor can be reached, by marking where such stretches begin and end.
             edge = np.zeros(len(words) + 1, np.int64)

@@ -1,7 +1,10 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -165,3 +168,16 @@ def test_words_of_equal_letter_patterns(spark, n):
     assert sorted(map(tuple, found)) == sorted(removed(docs, 50))
     near = {r.doc_id: r.component_id for r in minhash.near_duplicates(odd(spark, [(i, t, None) for i, t in docs]), 3, 85).collect()}
     assert near == component_ids(docs, 3, 85)
+
+
+def test_windows_of_copies_stay_small_in_memory():
+    """Every window of 1,100 near copies is sent on; a task's arrays stay below 250 MB."""
+    text, n = " ".join(f"word{i * 7919 % 5003}" for i in range(2000)), 1100
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array(range(n), pa.int64()), pa.array([f"{text} end{i}" for i in range(n)]),
+         pa.array([np.arange(0, 1900, 5, dtype=np.int32)] * n, pa.list_(pa.int32()))], ["doc_id", "text", "places"])
+    tracemalloc.start()
+    sent = sum(len(h) // 8 for b in substring._windows(50, 64)(iter([rows])) for h in b.column("hash").to_pylist())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sent > n * 1890 and peak < 250e6, peak
