@@ -404,12 +404,12 @@ def _checked_lines(i: Inputs) -> DataFrame:
 
 def _stored_silver(i: Inputs, jobs: DataFrame | None = None) -> str:
     root = i.scratch("silver")
-    for df, name, day in (
-        (i.merged_jobs() if jobs is None else jobs, "jobs", "job_date"),
-        (i.silver_inference(), "inference", "log_date"),
-        (i.silver_node_metrics(), "node_metrics", "metric_date"),
-    ):
-        tables.write_partitioned_overwrite(df, f"{root}/{name}", [day])
+    session.at_once(i.spark, *(
+        partial(tables.write_partitioned_overwrite, df, f"{root}/{name}", [day]) for df, name, day in (
+            (i.merged_jobs() if jobs is None else jobs, "jobs", "job_date"),
+            (i.silver_inference(), "inference", "log_date"),
+            (i.silver_node_metrics(), "node_metrics", "metric_date"),
+        )))
     return root
 
 

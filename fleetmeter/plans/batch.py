@@ -16,7 +16,7 @@ from fleetmeter.operators import dedup, enrich, merge, quality
 from fleetmeter.operators.maintenance import optimize_tables
 from fleetmeter.plans import incremental as by_date
 from fleetmeter.plans import marts, staging
-from fleetmeter.session import scratch_scope, sized_shuffles, spill_to_table
+from fleetmeter.session import at_once, scratch_scope, sized_shuffles, spill_to_table
 from fleetmeter.sources import files, tables
 
 # Where each raw input lies below the bronze root.
@@ -146,26 +146,29 @@ def materialize_gold(spark: SparkSession, silver: str, gold: str, as_of: datetim
                      fmt: str = tables.DEFAULT_FORMAT) -> dict[str, DataFrame]:
     """Staging as temporary views; the intermediate table and the marts as stored tables.
 
-    Job costs are stored once and feed the mart from there. Every table is partitioned by
-    its date, the column all reads filter on.
+    Job costs are stored once and feed the mart from there, while the other two marts are made
+    beside them. Every table is partitioned by its date, the column all reads filter on.
     """
     views = staging_views(spark, silver, fmt)
+    job_costs = staging.int_job_costs(views["stg_jobs"], as_of)
+    utilization = marts.gpu_utilization_hourly(views["stg_node_metrics"])
+    sla = marts.job_performance_sla(views["stg_inference"])
 
     def store(df: DataFrame, name: str, partition_by: str) -> DataFrame:
-        with sized_shuffles(df):
-            return tables.write_partitioned_overwrite(df, f"{gold}/{name}", [partition_by], fmt)
-
-    costs = store(staging.int_job_costs(views["stg_jobs"], as_of), "int_job_costs", "job_date")
-    return {
-        "int_job_costs": costs,
-        "cost_attribution": store(marts.cost_attribution(costs), "cost_attribution", "job_date"),
-        "gpu_utilization_hourly": store(
-            marts.gpu_utilization_hourly(views["stg_node_metrics"]), "gpu_utilization_hourly", "metric_date"
-        ),
-        "job_performance_sla": store(
-            marts.job_performance_sla(views["stg_inference"]), "job_performance_sla", "log_date"
-        ),
-    }
+        return tables.write_partitioned_overwrite(df, f"{gold}/{name}", [partition_by], fmt)
+
+    def store_costs() -> tuple[DataFrame, DataFrame]:
+        costs = store(job_costs, "int_job_costs", "job_date")
+        return costs, store(marts.cost_attribution(costs), "cost_attribution", "job_date")
+
+    with sized_shuffles(job_costs, utilization, sla):
+        (costs, cost), stored_utilization, stored_sla = at_once(
+            spark, store_costs,
+            lambda: store(utilization, "gpu_utilization_hourly", "metric_date"),
+            lambda: store(sla, "job_performance_sla", "log_date"),
+        )
+    return {"int_job_costs": costs, "cost_attribution": cost, "gpu_utilization_hourly": stored_utilization,
+            "job_performance_sla": stored_sla}
 
 
 def _no_failures(tests: DataFrame) -> bool:

@@ -1,4 +1,5 @@
 import glob
+import threading
 from datetime import date, datetime, timedelta, timezone
 
 import pytest
@@ -183,3 +184,19 @@ def test_scans_read_only_the_columns_in_use(spark):
     plan = marts.cost_attribution(i.job_costs())._jdf.queryExecution().executedPlan().toString()
     unused = {"o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice"} ^ set(i.table("orders").columns)
     assert unused and not any(c in plan for c in unused)
+
+
+def test_gold_tables_are_stored_side_by_side(spark, monkeypatch):
+    """Each of the three stores that need no other waits for the rest to begin."""
+    inputs, together = Inputs(spark, DATA), threading.Barrier(3, timeout=60)
+    views = {"stg_jobs": inputs.stg_jobs(), "stg_inference": inputs.stg_inference(), "stg_node_metrics": inputs.stg_node_metrics()}
+
+    def store(df, path, *_):
+        if not path.endswith("cost_attribution"):
+            together.wait()
+        return df
+
+    monkeypatch.setattr(batch, "staging_views", lambda *_: views)
+    monkeypatch.setattr(batch.tables, "write_partitioned_overwrite", store)
+    gold = batch.materialize_gold(spark, "silver", "gold")
+    assert list(gold) == ["int_job_costs", "cost_attribution", "gpu_utilization_hourly", "job_performance_sla"]
