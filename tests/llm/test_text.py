@@ -1,12 +1,14 @@
 """Language, licences and the masked network."""
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from fleetmeter.llm import language, licenses, masked_lm, queries
 from fleetmeter.llm.support import SpanHasher, document_words
@@ -168,3 +170,101 @@ def test_vocabulary_grows_with_the_corpus(spark):
     assert len(known) == masked_lm.known_words(45) and side == 45 and sorted(place) == list(range(len(known)))
     assert all(masked_lm.side_of(masked_lm.known_words(s)) == s and masked_lm.side_of(masked_lm.known_words(s) + 1) == s + 1 for s in range(32, 600))
     assert {k: v.shape for k, v in masked_lm.initial(side=side).items()} == masked_lm.shapes(side)
+
+
+def _trial(side, n, seed=0, scale=1.0):
+    """A network, windows over some texts (the last ones short), and their targets."""
+    rng = np.random.default_rng(seed)
+    net = {k: (v + rng.normal(0, 0.1, v.shape)).astype(np.float32) * np.float32(scale) for k, v in masked_lm.initial(side=side).items()}
+    entries = np.minimum(rng.zipf(1.3, n) * 3, side**2 - 1)
+    at = np.unique(np.concatenate((np.arange(0, n - 5, 50), [n - 4, n - 3, n - 1, n])))
+    return net, masked_lm._windows(entries, at), entries
+
+
+def _plain(net, context, target):
+    """Log-probabilities and the gradient of their mean's negative, without blocks and in 64 bits."""
+    net = {k: v.astype(float) for k, v in net.items()}
+    n, side = len(target), net["word"].shape[2]
+    c, w = np.divmod(target, side)
+    inputs = net["embed"][context].reshape(n, -1)
+    hidden = np.tanh(inputs @ net["hidden"] + net["hidden_bias"])
+    logs, ds = 0, []
+    for logits, at in ((hidden @ net["class"] + net["class_bias"], c), (np.einsum("nh,nhw->nw", hidden, net["word"][c]) + net["word_bias"][c], w)):
+        logits -= logits.max(1, keepdims=True)
+        p = np.exp(logits) / np.exp(logits).sum(1, keepdims=True)
+        logs = logs + logits[np.arange(n), at] - np.log(np.exp(logits).sum(1))
+        p[np.arange(n), at] -= 1
+        ds.append(p / n)
+    g = {k: np.zeros_like(v) for k, v in net.items()}
+    g["class"], g["class_bias"] = hidden.T @ ds[0], ds[0].sum(0)
+    np.add.at(g["word"], c, np.einsum("nh,nw->nhw", hidden, ds[1]))
+    np.add.at(g["word_bias"], c, ds[1])
+    d = (ds[0] @ net["class"].T + np.einsum("nw,nhw->nh", ds[1], net["word"][c])) * (1 - hidden**2)
+    g["hidden"], g["hidden_bias"] = inputs.T @ d, d.sum(0)
+    np.add.at(g["embed"], context.ravel(), (d @ net["hidden"].T).reshape(-1, net["embed"].shape[1]))
+    return logs, g
+
+
+@pytest.mark.parametrize("together", [1, 2**13, 2**20])
+def test_steps_equal_the_plain_gradient(monkeypatch, together):
+    """Whatever classes are worked on at a time; what the batch does not hold stays as it is."""
+    monkeypatch.setattr(masked_lm, "_TOGETHER", together)
+    net, context, target = _trial(33, 700)
+    sums = {k: np.full_like(v, 1e-6) for k, v in net.items()}
+    before, (_, g) = {k: v.copy() for k, v in net.items()}, _plain(net, context, target)
+    masked_lm._step(net, sums, context, target)
+    for k in net:
+        total = 1e-6 + g[k] ** 2
+        assert np.allclose(sums[k], total, rtol=1e-3, atol=1e-10)
+        assert np.allclose(net[k], before[k] - masked_lm.RATE * g[k] / np.sqrt(total + 1e-8), atol=2e-4), k
+    absent = np.setdiff1d(np.arange(33), target // 33)
+    assert len(absent) > 3 and (net["word"][absent] == before["word"][absent]).all() and (net["embed"][1:3] == before["embed"][1:3]).all()
+
+
+@pytest.mark.parametrize("scale", [1.0, 60.0])
+def test_probabilities_of_small_and_large_logits(monkeypatch, scale):
+    """Logits beyond the bound are shifted first, others are not."""
+    monkeypatch.setattr(masked_lm, "BATCH", 64)
+    net, context, target = _trial(33, 700, 1, scale)
+    logs, _ = _plain(net, context, target)
+    assert (logs.min() < -200) == (scale > 1)
+    assert np.allclose(masked_lm._forward(net, context, target)[0], logs, rtol=1e-3, atol=1e-3)
+
+
+def test_scoring_holds_a_block_of_logits():
+    net, context, target = _trial(101, 2**16)
+    tracemalloc.start()
+    masked_lm._forward(net, context, target)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * 101 * 2**16
+
+
+def test_rare_words_meet_their_counts_once_a_chunk(spark, monkeypatch):
+    """However often a task meets a word outside the vocabulary, it sends it once."""
+    stored = {}
+    spill = masked_lm.spill_to_table
+    monkeypatch.setattr(masked_lm, "spill_to_table", lambda df, name: stored.setdefault(name, spill(df, name)))
+    common = " ".join(f"c{i}" for i in range(767)) + " "
+    texts = [(i, common * 3 + " ".join(f"r{i * 7 % 5 + j}" for j in range(20))) for i in range(8)] + [(8, None), (9, "")]
+    masked_lm.score(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1))
+    sent = stored["rated"].where("word is not null")
+    assert sent.count() == sent.select("word").distinct().count() == 24 and sent.selectExpr("sum(size(docs))").first()[0] == 160
+
+
+@pytest.mark.parametrize("n", [1, 3, 767, 30_000])
+def test_search_by_leading_bits(n):
+    rng = np.random.default_rng(n)
+    edges = np.array([0, 1, 2**64 - 1], np.uint64)
+    known = np.unique(np.concatenate((rng.integers(0, 2**64 - 1, n, np.uint64), edges[: n % 4], rng.integers(0, 99, n // 2, np.uint64))))
+    words_ = np.concatenate((known, known + np.uint64(1), edges, rng.integers(0, 2**64 - 1, 5000, np.uint64)))
+    assert (masked_lm._searched(known, words_) == np.searchsorted(known, words_)).all()
+
+
+def test_windows_stay_in_their_text():
+    rng = np.random.default_rng(0)
+    for _ in range(300):
+        at = np.concatenate(([0], np.cumsum(rng.integers(0, 4, rng.integers(1, 7)))))
+        x = rng.integers(1, 99, at[-1])
+        near = [[x[p + s] if a <= p + s < b else 0 for s in (-2, -1, 1, 2)] for a, b in zip(at, at[1:]) for p in range(a, b)]
+        assert masked_lm._windows(x, at).tolist() == near
