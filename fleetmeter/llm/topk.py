@@ -6,6 +6,9 @@ the largest inner product any point in the box can have, leaves are visited from
 down, and a query stops at the first leaf whose bound is below its kth score so far. That score
 starts from what the query reaches in one small pilot shard, so the other shards prune from the
 first leaf on. Scores are exact integers; ties go to the smaller vec_id.
+
+Blocks meet shards in a shuffle by home, a few shards that one task holds while blocks stream past
+them; neither trees nor queries ever reach the driver.
 """
 
 from __future__ import annotations
@@ -20,8 +23,14 @@ from pyspark.sql import functions as F
 
 from fleetmeter.session import spill_to_table
 
+from .support import short_batches
+
 #: Vectors per shard, vectors per leaf, queries per block.
 SHARD_ROWS, LEAF_ROWS, BLOCK_ROWS = 8_192, 64, 512
+#: Homes from which on a home takes several shards, and how many it takes at most; a block is sent once to each home.
+HOMES, HOME_SHARDS = 256, 16
+#: Blocks that one copy of a pilot shard serves.
+PILOT_BLOCKS = 8
 #: Sizes up to which sums of products are exact in doubles.
 _EXACT = 2.0**53
 _LEAST = -(2**63)
@@ -38,6 +47,17 @@ def quantized(vectors: DataFrame, scale: int = 256) -> DataFrame:
     return rows.select("vec_id", F.transform("v", lambda x: F.floor(x * scale).cast("long")).alias("v"))
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers in the fewest bytes that hold each of them, behind that number of bytes."""
+    least, most = int(values.min(initial=0)), int(values.max(initial=0))
+    size = next(s for s in (1, 2, 4, 8) if max(most, -1 - least) < 1 << (8 * s - 1))
+    return bytes([size]) + values.astype(f"<i{size}").tobytes()
+
+
+def unpacked(cell: bytes) -> np.ndarray:
+    return np.frombuffer(cell, f"<i{cell[0]}", offset=1).astype(np.int64)
+
+
 def build_tree(ids: np.ndarray, points: np.ndarray, leaf_rows: int = LEAF_ROWS) -> dict[str, np.ndarray]:
     """Points in leaf order, leaf bounds, tight boxes and the smallest id of each leaf."""
     order, at, todo = [], [0], [np.argsort(ids, kind="stable")]
@@ -117,7 +137,7 @@ def exact_top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, shar
     k candidates all are returned; a query without any has no row. Sums must fit 64 bits.
     is_query: a condition on vec_id. Returns query_id, rank (from 1), vec_id, score.
     """
-    spark = vectors.sparkSession
+    short_batches(vectors.sparkSession)
     rows = spill_to_table(quantized(vectors, scale).withColumn("dim", F.size("v")), "quantized")
     shards = max(1, math.ceil(rows.count() / shard_rows))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)))
@@ -126,7 +146,7 @@ def exact_top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, shar
         tree = build_tree(group["vec_id"].to_numpy(np.int64), np.stack(group["v"].to_numpy()).astype(np.int64))
         return pd.DataFrame({
             "dim": [group["dim"].iloc[0]], "shard": [group["shard"].iloc[0]],
-            **{name: [array.astype("<i8").tobytes()] for name, array in tree.items()},
+            **{name: [packed(array)] for name, array in tree.items()},
         })
 
     parts = ["ids", "points", "at", "least_id", "low", "high"]
@@ -137,45 +157,64 @@ def exact_top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, shar
 
     def block(group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({
-            "dim": [group["dim"].iloc[0]], "query_ids": [group["vec_id"].to_numpy("<i8").tobytes()],
-            "queries": [np.stack(group["v"].to_numpy()).astype("<i8").tobytes()],
-            "floors": [np.full(len(group), _LEAST, "<i8").tobytes()],
+            "dim": [group["dim"].iloc[0]], "block": [group["block"].iloc[0]], "query_ids": [packed(group["vec_id"].to_numpy(np.int64))],
+            "queries": [packed(np.stack(group["v"].to_numpy()).astype(np.int64))],
+            "floors": [packed(np.full(len(group), _LEAST))],
         })
 
     asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-    block_schema = "dim int, query_ids binary, queries binary, floors binary"
+    block_schema = "dim int, block long, query_ids binary, queries binary, floors binary"
     queries = spill_to_table(asked.groupBy("dim", "block").applyInPandas(block, block_schema), "queries")
 
-    def ints(cell: bytes) -> np.ndarray:
-        return np.frombuffer(cell, "<i8")
+    def planted(row) -> dict[str, np.ndarray]:
+        tree = {p: unpacked(getattr(row, p)) for p in parts}
+        for p in ("points", "low", "high"):
+            tree[p] = tree[p].reshape(-1, row.dim) if row.dim else np.zeros((len(tree["ids" if p == "points" else "least_id"]), 0), np.int64)
+        return tree
 
-    def visit(pairs: Iterator[pd.DataFrame], leaves: int | None) -> Iterator[pd.DataFrame]:
-        for frame in pairs:
+    def visit(frames: Iterator[pd.DataFrame], leaves: int | None) -> Iterator[pd.DataFrame]:
+        """Of each home its trees come first; they stay in their packed form."""
+        home, held = None, []
+        for frame in frames:
             for row in frame.itertuples(index=False):
-                tree = {p: ints(getattr(row, p)) for p in parts}
-                for p in ("points", "low", "high"):
-                    tree[p] = tree[p].reshape(-1, row.dim) if row.dim else np.zeros((len(tree["ids" if p == "points" else "least_id"]), 0), np.int64)
-                ids = ints(row.query_ids)
-                asked_for = ints(row.queries).reshape(len(ids), row.dim)
-                found = list(search(tree, asked_for, ids, ints(row.floors), k, leaves))
+                if home != (row.dim, row.home):
+                    home, held = (row.dim, row.home), []
+                if row.block < 0:
+                    held.append(row)
+                    continue
+                ids, floors = unpacked(row.query_ids), unpacked(row.floors)
+                asked_for = unpacked(row.queries).reshape(len(ids), row.dim)
+                for tree in held:
+                    found = list(search(planted(tree), asked_for, ids, floors, k, leaves))
+                    # k rows of this tree reach its kth score, so the next trees needn't look below it.
+                    floors = np.maximum(floors, [s[-1] if len(s) == k else _LEAST for s, _ in found])
+                    if leaves is None:
+                        yield pd.DataFrame({
+                            "query_id": np.repeat(ids, [len(s) for s, _ in found]), "vec_id": np.concatenate([i for _, i in found]),
+                            "score": np.concatenate([s for s, _ in found]),
+                        })
                 if leaves is not None:
-                    floors = [s[-1] if len(s) == k else _LEAST for s, _ in found]
-                    yield pd.DataFrame({"dim": [row.dim], "query_ids": [row.query_ids], "queries": [row.queries],
-                                        "floors": [np.array(floors, "<i8").tobytes()]})
-                else:
-                    lengths = [len(s) for s, _ in found]
-                    yield pd.DataFrame({
-                        "query_id": np.repeat(ids, lengths), "vec_id": np.concatenate([i for _, i in found]),
-                        "score": np.concatenate([s for s, _ in found]),
-                    })
-
-    # First floors: a few leaves of the first shard of each dimension.
-    pilot = trees.groupBy("dim").agg(F.min("shard").alias("shard")).join(trees, ["dim", "shard"])
-    floored = queries.join(pilot, "dim").mapInPandas(lambda it: visit(it, 4), block_schema)
-    floored = spill_to_table(floored, "floors")
+                    yield pd.DataFrame({"dim": [row.dim], "block": [row.block], "query_ids": [row.query_ids], "queries": [row.queries],
+                                        "floors": [packed(floors)]})
+
+    def met(homed: DataFrame, sent: DataFrame, homes: int, leaves: int | None, schema: str) -> DataFrame:
+        """What blocks find in the trees of the homes they are sent to."""
+        rows = homed.withColumn("block", F.lit(-1).cast("long")).unionByName(sent, allowMissingColumns=True)
+        return rows.repartition(homes, "dim", "home").sortWithinPartitions("dim", "home", "block").mapInPandas(lambda it: visit(it, leaves), schema)
+
+    def numbers(n: int):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    # First floors: a few leaves of the first shard of each dimension, of which there is a copy for every few blocks.
+    copies = math.ceil(blocks / PILOT_BLOCKS)
+    first = trees.groupBy("dim").agg(F.min("shard").alias("shard"))
+    pilot = trees.join(first.hint("shuffle_merge"), ["dim", "shard"]).drop("shard").withColumn("home", numbers(copies))
+    sent = queries.withColumn("home", F.pmod("block", F.lit(copies)))
+    floored = spill_to_table(met(pilot, sent, copies, 4, block_schema), "floors")
     # Every block of queries meets every shard.
-    spread = floored.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-    found = spread.join(trees, ["dim", "shard"]).mapInPandas(
-        lambda it: visit(it, None), "query_id long, vec_id long, score long")
+    share = min(HOME_SHARDS, math.ceil(shards / HOMES))
+    homes = math.ceil(shards / share)
+    homed = trees.withColumn("home", F.floor(F.col("shard") / share).cast("long")).drop("shard")
+    found = met(homed, floored.withColumn("home", numbers(homes)), homes, None, "query_id long, vec_id long, score long")
     found = found.withColumn("rank", F.expr("row_number() over (partition by query_id order by score desc, vec_id)"))
     return found.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")

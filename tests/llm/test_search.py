@@ -61,3 +61,22 @@ def test_pruned_search_still_ranks_ties_by_id():
     tree = topk.build_tree(ids, points.astype(np.int64), leaf_rows=16)
     ((scores, found),) = topk.search(tree, np.ones((1, 3), np.int64), np.array([-1]), np.array([topk._LEAST]), 5)
     assert scores.tolist() == [27] * 5 and found.tolist() == sorted(ids[points[:, 0] == 9].tolist())[:5]
+
+
+def test_neither_queries_nor_trees_are_broadcast(spark, monkeypatch):
+    """Blocks times shards used to go through the driver: their size was judged before every block was doubled for every shard."""
+    rng = random.Random(3)
+    rows = [(i, [rounded(rng.gauss(0, 1)) for _ in range(4)]) for i in range(3000)]
+    df = spark.createDataFrame([(i, v, 0, 1, 2, 3, 0.5) for i, v in rows], SCHEMA)
+    plan = topk.exact_top_k(df, F.col("vec_id") % 50 == 0, shard_rows=100)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" in plan and "Broadcast" not in plan
+    # Small blocks and homes of several shards give the same.
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(topk, "HOMES", 5)
+    assert run(spark, rows, k=5, shard_rows=100) == brute(rows, 5)
+
+
+def test_packed_numbers_come_back():
+    import numpy as np
+    for values in ([], [0], [127, -128], [128], [-129], [2**31 - 1, -(2**31)], [2**31], [topk._LEAST, 2**63 - 1]):
+        assert topk.unpacked(topk.packed(np.array(values, np.int64))).tolist() == values
