@@ -86,6 +86,18 @@ def test_long_texts_in_no_learnt_language_go(spark):
     assert pipeline.known_language(spark, odd(spark, few), "").count() == len(few)
 
 
+def test_texts_of_a_sentence_in_no_learnt_language_go(spark):
+    """They used to stay whatever their score, unless they had 200 n-grams."""
+    rows = [(i, f"the house and the garden number {'abcdefgh'[i % 8]} of them", "en") for i in range(120)]
+    chinese = "".join(chr(0x4E00 + i * 37 % 5000) for i in range(120))
+    russian = "съешь же ещё этих мягких французских булок да выпей чаю, а потом приходи к нам в гости и расскажи обо всём по порядку"
+    rows += [(500, chinese, None), (501, "你好世界你好", None), (502, russian, "ru"), (None, russian + " снова", None), (503, "the house of them", None), (504, "да", None)]
+    kept = {(r.doc_id, r.text) for r in pipeline.known_language(spark, odd(spark, rows), "").collect()}
+    assert kept == {(i, t) for i, t, _ in rows if i not in (500, 502, None)}
+    few = [r for r in rows if (r[0] or 500) >= 500 or r[0] < 20]
+    assert pipeline.known_language(spark, odd(spark, few), "").count() == len(few)
+
+
 def test_no_documents(spark, tmp_path):
     assert through(spark, empty(spark), tmp_path)[1] == [0] * 5
 
